@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from pairloom.llm import mixing
+from pairloom.llm import decontaminate, mixing
 
 QUERIES = {
     "op1_mix_sources": mixing.query,
+    "op4_decontaminate": decontaminate.query,
 }
 ORACLE_SQL = {
     "op1_mix_sources": mixing.ORACLE,
+    "op4_decontaminate": decontaminate.ORACLE,
 }
