@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pairloom.llm import decontaminate, mixing
+from pairloom.llm import decontaminate, mixing, simhash
 
 QUERIES = {
     "op1_mix_sources": mixing.query,
+    "op3_simhash": simhash.query,
     "op4_decontaminate": decontaminate.query,
 }
 ORACLE_SQL = {
