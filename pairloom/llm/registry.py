@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-from pairloom.llm import decontaminate, mixing, simhash
+from pairloom.llm import decontaminate, mixing, simhash, token_counts, tokens
 
 QUERIES = {
     "op1_mix_sources": mixing.query,
     "op3_simhash": simhash.query,
     "op4_decontaminate": decontaminate.query,
+    "op6_token_ids": tokens.query,
+    "op10_token_counts": token_counts.query,
 }
 ORACLE_SQL = {
     "op1_mix_sources": mixing.ORACLE,
