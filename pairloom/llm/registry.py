@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from pairloom.llm import decontaminate, mixing, simhash, token_counts, tokens
+from pairloom.llm import decontaminate, mixing, quality_rules, simhash, token_counts, tokens
 
 QUERIES = {
     "op1_mix_sources": mixing.query,
     "op3_simhash": simhash.query,
     "op4_decontaminate": decontaminate.query,
     "op6_token_ids": tokens.query,
+    "op7_quality_rules": quality_rules.query,
     "op10_token_counts": token_counts.query,
 }
 ORACLE_SQL = {
