@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pairloom.llm import decontaminate, mixing, quality_rules, simhash, token_counts, tokens
+from pairloom.llm import decontaminate, mixing, quality_model, quality_rules, simhash, token_counts, tokens
 
 QUERIES = {
     "op1_mix_sources": mixing.query,
+    "op2_quality_model": quality_model.query,
     "op3_simhash": simhash.query,
     "op4_decontaminate": decontaminate.query,
     "op6_token_ids": tokens.query,
