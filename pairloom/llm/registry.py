@@ -2,18 +2,21 @@
 
 from __future__ import annotations
 
-from pairloom.llm import decontaminate, mixing, quality_model, quality_rules, simhash, token_counts, tokens
+from pairloom.llm import chat, decontaminate, language, mixing, quality_model, quality_rules, simhash, token_counts, tokens
 
 QUERIES = {
     "op1_mix_sources": mixing.query,
     "op2_quality_model": quality_model.query,
     "op3_simhash": simhash.query,
     "op4_decontaminate": decontaminate.query,
+    "op5_chat": chat.query,
     "op6_token_ids": tokens.query,
     "op7_quality_rules": quality_rules.query,
+    "op9_language": language.query,
     "op10_token_counts": token_counts.query,
 }
 ORACLE_SQL = {
     "op1_mix_sources": mixing.ORACLE,
     "op4_decontaminate": decontaminate.ORACLE,
+    "op5_chat": chat.ORACLE,
 }
