@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pairloom.llm import chat, decontaminate, language, mixing, quality_model, quality_rules, simhash, token_counts, tokens
+from pairloom.llm import chat, decontaminate, language, mixing, quality_model, quality_rules, simhash, substrings, token_counts, tokens
 
 QUERIES = {
     "op1_mix_sources": mixing.query,
@@ -12,6 +12,7 @@ QUERIES = {
     "op5_chat": chat.query,
     "op6_token_ids": tokens.query,
     "op7_quality_rules": quality_rules.query,
+    "op8_substrings": substrings.query,
     "op9_language": language.query,
     "op10_token_counts": token_counts.query,
 }
