@@ -108,10 +108,10 @@ def mixed_documents(docs: DataFrame, **options) -> DataFrame:
 
     A row that the mix takes less than half of is not in it. Rows without words are never taken.
     """
-    taken = mix_sources(docs, **options)
-    copies = F.when(F.col("size") > 0, F.round(F.col("taken") / F.col("size"))).otherwise(0).cast("int")
-    # explode_outer of an empty sequence would keep the row: rows taken zero times are filtered first
-    return taken.withColumn("_copies", copies).filter("_copies > 0").withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies")))).select(*docs.columns)
+    packed = docs.select("doc_id", "source", "text", F.struct(*docs.columns).alias("_row"))
+    taken = mix_sources(packed, **options).filter("size > 0")
+    copies = F.round(F.col("taken") / F.col("size")).cast("int")
+    return taken.filter(copies > 0).select("_row", F.explode(F.sequence(F.lit(1), copies)).alias("_copy")).select("_row.*")
 
 
 def query(spark, sf_dir: str) -> DataFrame:

@@ -195,11 +195,12 @@ def drop_near_duplicates(docs: DataFrame, **options) -> DataFrame:
     found = near_duplicates(docs, **options)
     keep = found.filter("doc_id IS NULL AND component_id IS NULL OR doc_id = component_id").groupBy(F.col("component_id").alias("_keep")).agg(F.count("*").alias("_n"))
     keep = stash(keep, "kept")
-    kept = docs.join(keep, F.col("doc_id").eqNullSafe(F.col("_keep")))
+    packed = docs.select(F.col("doc_id").alias("_id"), F.struct(*docs.columns).alias("_row"))
+    kept = packed.join(keep, F.col("_id").eqNullSafe(F.col("_keep")))
     if keep.filter("_n > 1 AND _keep IS NOT NULL").isEmpty():
-        return kept.select(*docs.columns)
-    once = kept.filter("_n = 1 OR _keep IS NULL").select(*docs.columns)
-    return once.unionByName(kept.filter("_n > 1 AND _keep IS NOT NULL").dropDuplicates(["_keep"]).select(*docs.columns))
+        return kept.select("_row.*")
+    once = kept.filter("_n = 1 OR _keep IS NULL").select("_row.*")
+    return once.unionByName(kept.filter("_n > 1 AND _keep IS NOT NULL").dropDuplicates(["_keep"]).select("_row.*"))
 
 
 def query(spark, sf_dir: str) -> DataFrame:
