@@ -163,7 +163,8 @@ def fit(docs: DataFrame, sample: int = SAMPLE) -> Model:
     draw = draw.filter(F.conv(F.substring("_h", 1, 8), 16, 10).cast("double") / 2**32 <= 4.0 * each / F.col("_n") + 64.0 / F.col("_n"))
     ranked = draw.withColumn("_k", F.row_number().over(Window.partitionBy("lang").orderBy("_h", "doc_id"))).filter(F.col("_k") <= each)
     chosen = ranked.select(F.col("doc_id").alias("_id"), F.col("lang").alias("_lang"), "_h").distinct().limit(sample)
-    rows = docs.select("doc_id", "text").join(F.broadcast(chosen), F.col("doc_id") == F.col("_id")).select("text", "_lang", "_h").limit(2 * sample)
+    # broadcast: `sample` bounds the rows; the limit further down only matters where doc_ids repeat
+    rows = docs.select("doc_id", "text").join(F.broadcast(chosen), F.col("doc_id") == F.col("_id")).select("text", "_lang", "_h")
 
     def vectors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -174,7 +175,7 @@ def fit(docs: DataFrame, sample: int = SAMPLE) -> Model:
             arrays = [pa.array([w.astype(np.int32) for w in where], pa.list_(pa.int32())), pa.array([c[w].astype(np.int32) for c, w in zip(found, where)], pa.list_(pa.int32()))]
             yield pa.RecordBatch.from_arrays([batch.column(1).take(pa.array(kept, pa.int64())), batch.column(2).take(pa.array(kept, pa.int64())), *arrays], names=["lang", "h", "at", "n"])
 
-    table = rows.mapInArrow(vectors, "lang string, h string, at array<int>, n array<int>").toArrow().sort_by([("h", "ascending"), ("lang", "ascending")])
+    table = rows.mapInArrow(vectors, "lang string, h string, at array<int>, n array<int>").limit(2 * sample).toArrow().sort_by([("h", "ascending"), ("lang", "ascending")])
     x = np.zeros((table.num_rows, DIMENSIONS), np.float32)
     for i, (at, n) in enumerate(zip(table.column("at").combine_chunks(), table.column("n").combine_chunks())):
         x[i, at.values.to_numpy()] = np.sqrt(n.values.to_numpy())
