@@ -7,6 +7,7 @@ import unicodedata
 
 import pandas as pd
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 _INDIC = ("DEVANAGARI", "TAMIL", "TELUGU", "GURMUKHI", "BENGALI", "GUJARATI", "KANNADA", "MALAYALAM", "ORIYA")
 
@@ -49,6 +50,6 @@ def romanize_text(text: str | None) -> str | None:
     return "".join(out)
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def romanize(texts: pd.Series) -> pd.Series:
     return texts.map(romanize_text, na_action="ignore")

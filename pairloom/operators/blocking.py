@@ -24,8 +24,8 @@ def bigrams(tokens: Column) -> Column:
     return F.when(F.size(tokens) > 1, F.filter(pairs, lambda b: ~b.rlike(r"^\d+_|_\d+$"))).otherwise(F.array().cast("array<string>"))
 
 
-#: Extension point: key families as (channel, prefix, least length, column expression of an array of strings).
-FAMILIES: list[tuple[str, str, int, Column | None]] = [
+#: Extension point: key families as (channel, prefix, least length, SQL of an array of strings; None: bigrams).
+FAMILIES: list[tuple[str, str, int, str | None]] = [
     ("name", "t:", 2, "name_tokens"),
     ("name", "k:", 2, "name_skel"),
     ("name", "c:", 4, "array(name_compact)"),
@@ -37,13 +37,16 @@ FAMILIES: list[tuple[str, str, int, Column | None]] = [
 ]
 
 
+def _family(channel: str, prefix: str, least: int, expression: str | None) -> Column:
+    """The keys of one family as an array of (channel, key)."""
+    source = bigrams(F.col("addr_tokens")) if expression is None else F.expr(expression)
+    kept = F.filter(source, lambda t: F.length(t) >= least)
+    return F.transform(kept, lambda t: F.struct(F.lit(channel).alias("channel"), F.concat(F.lit(prefix), t).alias("key")))
+
+
 def record_keys(records: DataFrame, families=None) -> DataFrame:
     """(country, idx, src, channel, key), distinct, of all families in one pass."""
-    parts = []
-    for channel, prefix, least, expression in families or FAMILIES:
-        source = bigrams(F.col("addr_tokens")) if expression is None else F.expr(expression)
-        kept = F.filter(source, lambda t, least=least: F.length(t) >= least)
-        parts.append(F.transform(kept, lambda t, c=channel, p=prefix: F.struct(F.lit(c).alias("channel"), F.concat(F.lit(p), t).alias("key"))))
+    parts = [_family(*family) for family in families or FAMILIES]
     found = records.select("country", "idx", "src", F.explode(F.array_distinct(F.concat(*parts))).alias("_k"))
     return found.select("country", "idx", "src", "_k.channel", "_k.key")
 
