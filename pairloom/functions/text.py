@@ -40,6 +40,16 @@ def _in(token: Column, words) -> Column:
     return token.isin(list(words))
 
 
+def _lookup(token: Column, entries: dict[str, str]) -> Column:
+    """The entry of a token, or the token. Map literals are searched in order, so only tokens that a hash set has go there."""
+    return F.when(_in(token, entries), F.try_element_at(_table(entries), token)).otherwise(token)
+
+
+def _begins_with_digit(token: Column) -> Column:
+    """Of tokens over [a-z0-9]: a comparison, where a pattern would run for each token."""
+    return (token >= "0") & (token < "a")
+
+
 def nonlatin(name: Column) -> Column:
     return F.coalesce(name, F.lit("")).rlike(NON_LATIN)
 
@@ -101,8 +111,7 @@ def words_of_name(base: Column) -> Column:
 
 
 def legal_form(words: Column) -> Column:
-    table = _table(K.LEGAL_FORMS)
-    return F.array_join(F.array_sort(F.array_distinct(F.transform(F.filter(words, lambda t: _in(t, K.LEGAL_FORMS)), lambda t: F.try_element_at(table, t)))), " ")
+    return F.array_join(F.array_sort(F.array_distinct(F.transform(F.filter(words, lambda t: _in(t, K.LEGAL_FORMS)), lambda t: _lookup(t, K.LEGAL_FORMS)))), " ")
 
 
 def name_tokens(words: Column) -> Column:
@@ -121,18 +130,18 @@ def address_norm(base: Column) -> Column:
     return F.btrim(chain(base, ADDRESS_STEPS), F.lit(" ,"))
 
 
+def _plain_number(token: Column) -> Column:
+    """Ordinals without their ending, numbers without leading zeros."""
+    return F.when(_begins_with_digit(token), F.regexp_replace(F.regexp_replace(token, r"^(\d+)(st|nd|rd|th)$", "$1"), r"^0+(\d)", "$1")).otherwise(token)
+
+
 def address_tokens(norm: Column) -> Column:
-    table = _table(K.ADDRESS_CANON)
-    plain = F.transform(
-        F.split(F.replace(norm, F.lit(","), F.lit(" ")), " "),
-        lambda t: F.regexp_replace(F.regexp_replace(t, r"^(\d+)(st|nd|rd|th)$", "$1"), r"^0+(\d)", "$1"),
-    )
-    canon = F.transform(plain, lambda t: F.coalesce(F.try_element_at(table, t), t))
-    return F.filter(canon, lambda t: ~_in(t, ["", *K.ADDRESS_DROP]))
+    words = F.split(F.replace(norm, F.lit(","), F.lit(" ")), " ")
+    return F.filter(F.transform(words, lambda t: _lookup(_plain_number(t), K.ADDRESS_CANON)), lambda t: ~_in(t, ["", *K.ADDRESS_DROP]))
 
 
 def address_numbers(found: Column) -> Column:
-    return F.array_distinct(F.filter(found, lambda t: t.rlike(r"^\d+$")))
+    return F.array_distinct(F.filter(found, lambda t: _begins_with_digit(t) & t.rlike(r"^\d+$")))
 
 
 def address_ids(base: Column) -> Column:

@@ -20,11 +20,12 @@ DIGITS = 6
 
 def bigrams(tokens: Column) -> Column:
     """Neighbouring tokens joined by _, but for pairs with a side of digits only."""
-    pairs = F.transform(F.sequence(F.lit(1), F.size(tokens) - 1), lambda i: F.concat_ws("_", F.get(tokens, i - 1), F.get(tokens, i)))
-    return F.when(F.size(tokens) > 1, F.filter(pairs, lambda b: ~b.rlike(r"^\d+_|_\d+$"))).otherwise(F.array().cast("array<string>"))
+    digit = lambda t: (t >= "0") & (t < "a")
+    pairs = F.zip_with(tokens, F.slice(tokens, 2, F.greatest(F.size(tokens), F.lit(1))), lambda a, b: F.when(~((digit(a) & a.rlike(r"^\d+$")) | (digit(b) & b.rlike(r"^\d+$"))), F.concat(a, F.lit("_"), b)))
+    return F.filter(pairs, lambda b: b.isNotNull())
 
 
-#: Extension point: key families as (channel, prefix, least length, SQL of an array of strings; None: bigrams).
+#: Extension point: key families as (channel, prefix of two characters, least length, SQL of an array of strings; None: bigrams).
 FAMILIES: list[tuple[str, str, int, str | None]] = [
     ("name", "t:", 2, "name_tokens"),
     ("name", "k:", 2, "name_skel"),
@@ -37,18 +38,21 @@ FAMILIES: list[tuple[str, str, int, str | None]] = [
 ]
 
 
-def _family(channel: str, prefix: str, least: int, expression: str | None) -> Column:
-    """The keys of one family as an array of (channel, key)."""
+def _family(prefix: str, least: int, expression: str | None) -> Column:
+    """The keys of one family, with its prefix."""
     source = bigrams(F.col("addr_tokens")) if expression is None else F.expr(expression)
-    kept = F.filter(source, lambda t: F.length(t) >= least)
-    return F.transform(kept, lambda t: F.struct(F.lit(channel).alias("channel"), F.concat(F.lit(prefix), t).alias("key")))
+    return F.transform(F.filter(source, lambda t: F.length(t) >= least), lambda t: F.concat(F.lit(prefix), t))
 
 
 def record_keys(records: DataFrame, families=None) -> DataFrame:
     """(country, idx, src, channel, key), distinct, of all families in one pass."""
-    parts = [_family(*family) for family in families or FAMILIES]
-    found = records.select("country", "idx", "src", F.explode(F.array_distinct(F.concat(*parts))).alias("_k"))
-    return found.select("country", "idx", "src", "_k.channel", "_k.key")
+    families = families or FAMILIES
+    # Repeats go while keys are strings, which array_distinct hashes; structs it would compare pair by pair.
+    keys = F.array_distinct(F.concat(*(_family(prefix, least, expression) for _, prefix, least, expression in families)))
+    # explode_outer: the optimizer puts a filter below a plain explode, which would make all keys twice
+    channels = F.create_map(*(F.lit(x) for channel, prefix, _, _ in families for x in (prefix, channel)))
+    found = records.select("country", "idx", "src", F.explode_outer(keys).alias("key")).filter("key IS NOT NULL")
+    return found.select("country", "idx", "src", F.try_element_at(channels, F.substring("key", 1, 2)).alias("channel"), "key")
 
 
 def key_weights(keys: DataFrame, records: DataFrame, max_df_fraction: float = MAX_DF_FRACTION) -> DataFrame:

@@ -19,6 +19,12 @@ def _tsv(spark: SparkSession, path: str, names: list[str]) -> DataFrame:
     return rows.select(*(F.coalesce(n, F.lit("")).alias(n) for n in names))
 
 
+def spread(table: DataFrame) -> DataFrame:
+    """A table with fewer input splits than cores is dealt to all of them; a table with more is left as it is, without a shuffle."""
+    cores = table.sparkSession.sparkContext.defaultParallelism
+    return table.repartition(cores) if table.rdd.getNumPartitions() < cores else table
+
+
 def source_paths(directory: str, prefix: str) -> list[str]:
     return [f"{directory.rstrip('/')}/{prefix}_source{k}.tsv" for k in (1, 2, 3)]
 
@@ -67,7 +73,7 @@ def read_id_lists(spark: SparkSession, path: str) -> DataFrame:
     """(id, ids) of an id-list file; a repeated id counts once, with the last of its lists by text; short rows have no ids."""
     rows = spark.read.csv(path, sep="\t", header=True, quote="", schema=_STRINGS(["id", "list"]), mode="PERMISSIVE")
     last = rows.filter("id IS NOT NULL").groupBy("id").agg(F.max(F.coalesce("list", F.lit(""))).alias("list"))
-    return last.select("id", F.array_distinct(F.filter(F.transform(F.split("list", ","), F.trim), lambda x: x != "")).alias("ids"))
+    return last.select("id", F.array_distinct(F.filter(F.transform(F.split("list", ","), lambda x: F.trim(x)), lambda x: x != "")).alias("ids"))
 
 
 def save_json(value, path: str) -> None:

@@ -10,12 +10,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from pairloom.sources import tables
+
 NOISE = ["drop", "repeat", "reverse", "accent", "leet", "legal", "noaddr", "digit"]
 
 
 def records(spark: SparkSession, sf_dir: str) -> DataFrame:
     """idx, entity_id, src, country, business_name, business_address of every document."""
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text", "lang", "source")
+    docs = tables.spread(spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text", "lang", "source"))
     number = F.regexp_extract("source", r"(\d+)", 1).cast("int")
     src = F.when(number % 4 == 0, 1).when(number % 2 == 1, 2).otherwise(3).cast("tinyint")
     lines = F.split("text", "\n")
