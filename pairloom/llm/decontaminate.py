@@ -20,7 +20,6 @@ replaced.
 
 from __future__ import annotations
 
-import hashlib
 from collections import Counter
 from collections.abc import Iterator
 
@@ -29,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from pairloom.llm.common import annotate, small_batches, utf8
+from pairloom.llm.common import small_batches, utf8, with_columns
 
 WINDOW = 10
 BLOCK_WORDS = 2_000_000
@@ -97,13 +96,18 @@ def spans_of(words: list[bytes], items: list[list[bytes]], anchors: dict[bytes,
             if left + right + 1 >= need:
                 found.append((i - left, i + right + 1))
                 hit.add(k)
+    return merge(found), hit
+
+
+def merge(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    """Spans without overlaps, in order."""
     merged: list[tuple[int, int]] = []
-    for a, b in sorted(found):
+    for a, b in sorted(spans):
         if merged and a <= merged[-1][1]:
             merged[-1] = (merged[-1][0], max(b, merged[-1][1]))
         else:
             merged.append((a, b))
-    return merged, hit
+    return merged
 
 
 def blocks_of(benchmark: DataFrame, most: int) -> Iterator[list[tuple[str | None, list[bytes]]]]:
@@ -121,55 +125,49 @@ def blocks_of(benchmark: DataFrame, most: int) -> Iterator[list[tuple[str | None
         yield block
 
 
-def match_block(docs: DataFrame, counted: DataFrame, block: list, window: int) -> DataFrame:
-    """`docs` with what this block of the benchmark hits. counted: the documents whose words give the rarity."""
+def match_block(docs: DataFrame, counted: DataFrame, block: list, window: int, again: bool) -> DataFrame:
+    """`docs` with what this block of the benchmark hits; again: and with what blocks before it have hit.
+
+    counted: the documents whose words give the rarity.
+    """
+    spark = docs.sparkSession
     ids, items = [i for i, _ in block], [w for _, w in block]
     counts = word_counts(counted, sorted({w for words in items for w in words}))
-    shared = docs.sparkSession.sparkContext.broadcast((ids, items, anchors_of(items, counts, window)))
+    shared = spark.sparkContext.broadcast((ids, items, anchors_of(items, counts, window)))
+    small_batches(spark)
+    names = [f.name for f in ADDED]
+    schema = T.StructType([f for f in docs.schema if f.name not in names] + list(ADDED))
 
-    def match(texts: list[bytes | None]) -> list[pa.Array]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ids, items, anchors = shared.value
-        n_words, n_hit, hit_ids, spans = [], [], [], []
-        for text in texts:
-            words = words_of(text)
-            merged, hit = spans_of(words, items, anchors, window)
-            n_words.append(len(words))
-            n_hit.append(sum(b - a for a, b in merged))
-            hit_ids.append(sorted({ids[k] for k in hit} - {None}))
-            spans.append([x for span in merged for x in span])
-        return [pa.array(n_words, pa.int64()), pa.array(n_hit, pa.int64()), pa.array(hit_ids, pa.list_(pa.string())), pa.array(spans, pa.list_(pa.int64()))]
-
-    return annotate(docs, match, ADDED)
+        for batch in batches:
+            at = batch.schema.names.index
+            n_words, n_hit, hit_ids, spans = [], [], [], []
+            before = zip(batch.column(at("hit_items")).to_pylist(), batch.column(at("hit_spans")).to_pylist()) if again else None
+            for text in utf8(batch.column(at("text"))):
+                words = words_of(text)
+                found, hit = spans_of(words, items, anchors, window)
+                named = {ids[k] for k in hit} - {None}
+                if before is not None:
+                    old_items, old = next(before)
+                    named |= set(old_items)
+                    found = merge([*found, *zip(old[::2], old[1::2])])
+                n_words.append(len(words))
+                n_hit.append(sum(b - a for a, b in found))
+                hit_ids.append(sorted(named))
+                spans.append([x for span in found for x in span])
+            if n_words:
+                yield with_columns(batch, names, [pa.array(n_words, pa.int64()), pa.array(n_hit, pa.int64()), pa.array(hit_ids, pa.list_(pa.string())), pa.array(spans, pa.list_(pa.int64()))])
+
+    return docs.mapInArrow(run, schema)
 
 
 def find_contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, block_words: int = BLOCK_WORDS) -> DataFrame:
     """`docs` (text and any other columns) with n_words, n_hit, hit_items (sorted ids) and hit_spans (flat, word positions)."""
     found = None
     for block in blocks_of(benchmark, block_words):
-        found = match_block(docs, docs, block, window) if found is None else _merged(match_block(_renamed(found), docs, block, window))
-    if found is None:
-        found = match_block(docs, docs.limit(0), [], window)
-    return found
-
-
-def _renamed(found: DataFrame) -> DataFrame:
-    return found.withColumnsRenamed({"hit_items": "_items", "hit_spans": "_spans"}).drop("n_hit")
-
-
-def _merged(found: DataFrame) -> DataFrame:
-    """The hits of two blocks as one. Rows stay where they are."""
-    covered = F.array_sort(F.flatten(F.transform(F.sequence(F.lit(0), F.size("_all") / 2 - 1), lambda k: F.sequence(F.get("_all", (2 * k).cast("int")), F.get("_all", (2 * k + 1).cast("int")) - 1))))
-    joined = found.withColumn("_all", F.concat("_spans", "hit_spans"))
-    joined = joined.withColumn("_hit", F.when(F.size("_all") > 0, F.array_distinct(covered)).otherwise(F.array().cast("array<bigint>")))
-    edges = F.filter("_hit", lambda x: ~F.array_contains("_hit", x - 1))
-    ends = F.transform(F.filter("_hit", lambda x: ~F.array_contains("_hit", x + 1)), lambda x: x + 1)
-    return joined.withColumns(
-        {
-            "n_hit": F.size("_hit").cast("long"),
-            "hit_items": F.array_sort(F.array_union("_items", "hit_items")),
-            "hit_spans": F.flatten(F.transform(F.arrays_zip(edges.alias("a"), ends.alias("b")), lambda s: F.array(s["a"], s["b"]))),
-        }
-    ).drop("_items", "_spans", "_all", "_hit")
+        found = match_block(docs if found is None else found, docs, block, window, found is not None)
+    return match_block(docs, docs.limit(0), [], window, False) if found is None else found
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
