@@ -75,10 +75,12 @@ def mix_sources(docs: DataFrame, max_epochs: int = MAX_EPOCHS, seed: int = SEED,
     """
     docs = docs.drop(*ADDED)
     digest = F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col("doc_id").cast("string"), F.lit("null"))))
-    sized = docs.withColumns({"size": n_words(F.col("text")), "_hash": digest}).withColumn("_bucket", F.substring("_hash", 1, HEX_DIGITS))
+    # _src stands for source and is never null, so the join below and the window after it share one shuffle of the rows.
+    stand_in = F.coalesce(F.concat(F.lit("="), F.col("source").cast("string")), F.lit("null"))
+    sized = docs.withColumns({"size": n_words(F.col("text")), "_hash": digest, "_src": stand_in}).withColumn("_bucket", F.substring("_hash", 1, HEX_DIGITS))
 
-    sums = sized.groupBy("source", "_bucket").agg(F.sum("size").alias("_words"))
-    sources = sums.groupBy("source").agg(F.sum("_words").alias("source_size"))
+    sums = sized.groupBy("_src", "_bucket").agg(F.sum("size").alias("_words"), F.first("source").alias("source"))
+    sources = sums.groupBy("_src").agg(F.sum("_words").alias("source_size"), F.first("source").alias("source"))
     order = Window.orderBy(F.col("source").asc_nulls_last())
     sources = sources.withColumn("rank", F.row_number().over(order))
     if weights is None:
@@ -87,17 +89,13 @@ def mix_sources(docs: DataFrame, max_epochs: int = MAX_EPOCHS, seed: int = SEED,
         given = weights.select(F.col("source").alias("_s"), F.col("weight").cast("long").alias("weight"))
         sources = sources.join(given, F.col("source").eqNullSafe(F.col("_s")), "left").drop("_s").withColumn("weight", F.coalesce("weight", F.lit(1)))
     targets = water_fill(sources, max_epochs).withColumn("_whole", F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(0).cast("long"))
-    targets = targets.withColumn("_part", F.round("target").cast("long") - F.col("_whole") * F.col("source_size")).withColumnRenamed("source", "_src").drop("rank")
-
-    earlier = Window.partitionBy("_src").orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
-    plan = (
-        sums.select(F.col("source").alias("_s"), F.col("_bucket").alias("_b"), "_words")
-        .join(targets, F.col("_s").eqNullSafe(F.col("_src")))
-        .withColumn("_left", F.col("_part") - F.coalesce(F.sum("_words").over(earlier), F.lit(0)))
-        .drop("_src", "_words", "_part")
-    )
-    joined = sized.join(plan, (F.col("_bucket") == F.col("_b")) & F.col("source").eqNullSafe(F.col("_s")))
-    inside = Window.partitionBy("source", "_bucket").orderBy("_hash", "doc_id", "size").rowsBetween(Window.unboundedPreceding, -1)
+    targets = targets.withColumn("_part", F.round("target").cast("long") - F.col("_whole") * F.col("source_size")).drop("rank", "source")
+
+    earlier = Window.partitionBy("_src").orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
+    plan = sums.select("_src", "_bucket", "_words").join(targets, "_src")
+    plan = plan.withColumn("_left", F.col("_part") - F.coalesce(F.sum("_words").over(earlier), F.lit(0))).drop("_words", "_part")
+    joined = sized.join(plan, ["_src", "_bucket"])
+    inside = Window.partitionBy("_src", "_bucket").orderBy("_hash", "doc_id", "size").rowsBetween(Window.unboundedPreceding, -1)
     left = F.col("_left") - F.coalesce(F.sum("size").over(inside), F.lit(0))
     part = F.greatest(F.lit(0), F.least(left, F.col("size")))
     return joined.withColumn("taken", (F.col("_whole") * F.col("size") + part).cast("long")).select(*docs.columns, *ADDED)
