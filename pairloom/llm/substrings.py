@@ -213,7 +213,9 @@ def resolve(occurrences: DataFrame, keys: DataFrame, last: bool) -> tuple[DataFr
     keys: all keys of `occurrences`, one row for each occurrence.
     """
     spark = occurrences.sparkSession
-    several = keys.groupBy(F.col("key").alias("_k")).agg(F.count("*").alias("_n")).filter("_n > 1").select("_k")
+    # A table of its own: a join with it shuffles both sides anew, so AQE can split a key that very many occurrences have.
+    several = stash(keys.groupBy(F.col("key").alias("_k")).agg(F.count("*").alias("_n")).filter("_n > 1").select("_k"), "keys")
+    release(spark)
     shared = stash(occurrences.join(several, F.col("key") == F.col("_k"), "left_semi"), "occurrences")
     release(spark)
     me = F.struct("doc_id", "copy", "place")
@@ -225,7 +227,7 @@ def resolve(occurrences: DataFrame, keys: DataFrame, last: bool) -> tuple[DataFr
     release(spark)
     if last:
         return repeats, None
-    many = dictionary.groupBy(F.col("_k").alias("_m")).agg(F.count("*").alias("_p")).filter("_p > 1").select("_m")
+    many = stash(dictionary.groupBy(F.col("_k").alias("_m")).agg(F.count("*").alias("_p")).filter("_p > 1").select("_m"), "keys")
     rest = stash(dictionary.join(many, F.col("_k") == F.col("_m"), "left_semi").select("first.*"), "dictionary")
     release(spark)
     return repeats, rest
