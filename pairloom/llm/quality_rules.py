@@ -149,9 +149,10 @@ def learn_cutoffs(docs: DataFrame, labels: DataFrame, risk: float = RISK, delta:
     chosen = labels.filter("doc_id IS NOT NULL AND quality IS NOT NULL").groupBy(F.col("doc_id").alias("_id")).agg(F.min("quality").alias("_quality"))
     chosen = chosen.withColumn("_digest", digest).orderBy("_digest", "_id").limit(sample)
     # broadcast: `sample` bounds the rows
-    rows = docs.select("doc_id", "text").join(F.broadcast(chosen), F.col("doc_id") == F.col("_id")).select("text", "_quality", "_digest").limit(2 * sample)
+    rows = docs.select("doc_id", "text").join(F.broadcast(chosen), F.col("doc_id") == F.col("_id")).select("text", "_quality", "_digest")
     found = base_statistics(rows).filter(~base_failed()).select(*(c.alias(f"r_{n}") for n, c in rules().items()), stratum().alias("s"), "_quality", (F.conv(F.substring("_digest", 1, 1), 16, 10).cast("int") % 2).alias("h"))
-    table = found.orderBy(*found.columns).toPandas()
+    table = found.limit(2 * sample).toPandas()  # the limit only matters where doc_ids repeat
+    table = table.sort_values(list(table.columns))
     values = {n: table[f"r_{n}"].to_numpy(float) for n in rules()}
     return choose_cutoffs(values, table["s"].to_numpy(int), table["_quality"].to_numpy(int) == 1, table["h"].to_numpy(int) == 1, risk, delta)
 
