@@ -396,13 +396,13 @@ def missing_mask(spark, sf):
     return found.select("s1_idx", "cand_idx", "atok_inter", *(_r(c).alias(c) for c in ("atok_jac", "atok_cont1", "atok_cont2")))
 
 
-_STAND_IN = """SELECT l_orderkey AS s1_idx, l_partkey AS cand_idx, round(max(l_extendedprice) / 1000, 3) AS blk_score, round(max(l_quantity) * 2, 0) AS nm_tset,
+_STAND_IN = """SELECT l_orderkey AS s1_idx, l_partkey AS cand_idx, floor(max(l_extendedprice))::DOUBLE AS blk_score, round(max(l_quantity) * 2, 0) AS nm_tset,
   CASE WHEN max(l_linenumber) % 3 <> 0 THEN round(max(l_discount) * 1000, 0) END AS ad_tset FROM lineitem GROUP BY 1, 2"""
 
 
 def _stand_in(spark, sf):
     lines = spark.read.parquet(f"{sf}/lineitem.parquet").groupBy(F.col("l_orderkey").alias("s1_idx"), F.col("l_partkey").alias("cand_idx"))
-    return lines.agg(_r(F.max("l_extendedprice") / 1000, 3).alias("blk_score"), _r(F.max("l_quantity") * 2, 0).alias("nm_tset"), F.when(F.max("l_linenumber") % 3 != 0, _r(F.max("l_discount") * 1000, 0)).alias("ad_tset"))
+    return lines.agg(F.floor(F.max("l_extendedprice")).cast("double").alias("blk_score"), _r(F.max("l_quantity") * 2, 0).alias("nm_tset"), F.when(F.max("l_linenumber") % 3 != 0, _r(F.max("l_discount") * 1000, 0)).alias("ad_tset"))
 
 
 @query(f"""WITH c AS ({_STAND_IN}) SELECT s1_idx, cand_idx, count(*) OVER (PARTITION BY cand_idx) AS cx_cand_n_s1, CAST(row_number() OVER (PARTITION BY cand_idx ORDER BY blk_score DESC, s1_idx) AS INTEGER) AS cx_cand_rank,
