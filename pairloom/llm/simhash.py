@@ -196,7 +196,8 @@ def drop_near_duplicates(docs: DataFrame, **options) -> DataFrame:
     keep = found.filter("doc_id IS NULL AND component_id IS NULL OR doc_id = component_id").groupBy(F.col("component_id").alias("_keep")).agg(F.count("*").alias("_n"))
     keep = stash(keep, "kept")
     packed = docs.select(F.col("doc_id").alias("_id"), F.struct(*docs.columns).alias("_row"))
-    kept = packed.join(keep, F.col("_id").eqNullSafe(F.col("_keep")))
+    # A merge join at every size: the kept ids grow with the corpus, and are broadcast only where they happen to be few.
+    kept = packed.join(keep.hint("merge"), F.col("_id").eqNullSafe(F.col("_keep")))
     if keep.filter("_n > 1 AND _keep IS NOT NULL").isEmpty():
         return kept.select("_row.*")
     once = kept.filter("_n = 1 OR _keep IS NULL").select("_row.*")
