@@ -9,9 +9,10 @@ its risk. Labelled documents are split by hash: one half proposes cutoffs (quant
 documents labelled good), the other half, the holdout, certifies them. Of the certified cutoffs of a rule and stratum, the
 lowest is used; a rule without one rejects nothing there.
 
-Scale. The base statistics come from one narrow Arrow pass; the rules are column expressions over them. The labelled rows are joined by
-hash of doc_id with at most SAMPLE labels, which bounds what is sent to the driver, where cutoffs are chosen. The cutoffs (rules times
-strata numbers) go back as literals.
+Scale. The base statistics come from one narrow Arrow pass; the rules are column expressions over them. All labelled rows take part:
+their counts, not their texts, are joined with the labels. The proposed quantiles are exact; they are found by counting values in BINS bins and
+going on inside the bins that hold a wanted rank. The driver sees counts of bins and of (rule, stratum, cutoff), never rows, and the
+cutoffs (rules times strata numbers) go back as literals.
 
 Defined results. Null, empty and blank texts have no words: all counts 0, base_failed, so not kept. Labels that are null are left out;
 of several labels of a doc_id the lowest counts. Without labels no rule has a cutoff, so kept is the opposite of base_failed. Repeated
@@ -28,11 +29,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from pairloom.llm.common import annotate
+from pairloom.llm.common import annotate, stash
 
 RISK = 0.02
 DELTA = 0.05
-SAMPLE = 40_000
+#: Bins that a bracket of values is counted in, each time it is narrowed.
+BINS = 256
 #: Proposals for each rule and stratum: these quantiles of the documents labelled good.
 PROPOSALS = (0.98, 0.985, 0.99, 0.995, 0.998, 1.0)
 #: Strata: bands of the number of words.
@@ -121,45 +123,105 @@ def base_failed() -> Column:
 
 
 def binomial_tail(k: int, n: int, p: float) -> float:
-    """P(X <= k) of a binomial, exactly summed."""
-    logs = [math.lgamma(n + 1) - math.lgamma(i + 1) - math.lgamma(n - i + 1) + i * math.log(p) + (n - i) * math.log1p(-p) for i in range(k + 1)]
-    top = max(logs)
-    return min(1.0, math.exp(top) * math.fsum(math.exp(x - top) for x in logs))
+    """P(X <= k) of a binomial, summed outwards from its largest term until terms are below any digit of the sum."""
+    top = min(k, int((n + 1) * p))
+    log = math.lgamma(n + 1) - math.lgamma(top + 1) - math.lgamma(n - top + 1) + top * math.log(p) + (n - top) * math.log1p(-p)
+    terms, t = [1.0], 1.0
+    for i in range(top, 0, -1):
+        t *= i * (1 - p) / ((n - i + 1) * p)
+        if t < 1e-30:
+            break
+        terms.append(t)
+    t = 1.0
+    for i in range(top, k):
+        t *= (n - i) * p / ((i + 1) * (1 - p))
+        if t < 1e-30:
+            break
+        terms.append(t)
+    return min(1.0, math.exp(log) * math.fsum(terms))
+
+
+Proposal = tuple[str, int, float]  # (rule, stratum, cutoff)
+
+
+def certify(tested: list[tuple[Proposal, int, int]], risk: float, delta: float) -> dict[tuple[str, int], float]:
+    """(rule, stratum) -> the lowest certified cutoff, of all proposals with their (rejected, all) good holdout documents."""
+    certified: dict[tuple[str, int], float] = {}
+    for (rule, s, cutoff), rejected, held in tested:
+        if held and binomial_tail(rejected, held, risk) <= delta / len(tested):
+            certified[rule, s] = min(cutoff, certified.get((rule, s), cutoff))
+    return certified
 
 
 def choose_cutoffs(values: dict[str, np.ndarray], strata: np.ndarray, good: np.ndarray, holdout: np.ndarray, risk: float = RISK, delta: float = DELTA) -> dict[tuple[str, int], float]:
-    """(rule, stratum) -> cutoff: values above it are rejected."""
-    proposed = []
+    """(rule, stratum) -> cutoff: values above it are rejected. What learn_cutoffs() finds, for arrays."""
+    tested = []
     for rule, value in values.items():
         for s in np.unique(strata):
             own = value[good & ~holdout & (strata == s)]
+            held = value[good & holdout & (strata == s)]
             if len(own):
-                proposed += [(rule, int(s), float(c)) for c in sorted(set(np.quantile(own, PROPOSALS, method="higher")))]
-    certified: dict[tuple[str, int], float] = {}
-    for rule, s, cutoff in proposed:
-        held = values[rule][good & holdout & (strata == s)]
-        if len(held) and binomial_tail(int((held > cutoff).sum()), len(held), risk) <= delta / len(proposed):
-            certified[rule, s] = min(cutoff, certified.get((rule, s), cutoff))
-    return certified
-
-
-def learn_cutoffs(docs: DataFrame, labels: DataFrame, risk: float = RISK, delta: float = DELTA, sample: int = SAMPLE) -> dict[tuple[str, int], float]:
-    """Cutoffs from at most `sample` labelled documents of `docs` (doc_id, text), the first by hash of doc_id."""
-    digest = F.md5(F.col("_id").cast("string"))
+                tested += [((rule, int(s), float(c)), int((held > c).sum()), len(held)) for c in sorted(set(np.quantile(own, PROPOSALS, method="higher")))]
+    return certify(tested, risk, delta)
+
+
+def quantiles(found: DataFrame, points: tuple[float, ...] = PROPOSALS, bins: int = BINS) -> list[Proposal]:
+    """The distinct quantiles (the next value above, as numpy's "higher") of the values of each rule and stratum; `found` is (rule, s, value)."""
+    spark = found.sparkSession
+    done: set[Proposal] = set()
+    wanted: dict[tuple[str, int, float, float], set[int]] = {}  # (rule, stratum, least, greatest value) -> ranks inside
+    for r in found.groupBy("rule", "s").agg(F.count("*").alias("n"), F.min("value").alias("lo"), F.max("value").alias("hi")).collect():
+        wanted[r.rule, r.s, r.lo, r.hi] = {math.ceil((r.n - 1) * q) for q in points}
+    while wanted:
+        done |= {(rule, s, lo) for rule, s, lo, hi in wanted if lo == hi}
+        brackets = sorted(w for w in wanted if w[2] < w[3])
+        if not brackets:
+            break
+        table = spark.createDataFrame([(k, *w) for k, w in enumerate(brackets)], "k int, _rule string, _s int, lo double, hi double")
+        # broadcast: at most one row for each rule, stratum and point
+        inside = found.join(F.broadcast(table), (F.col("rule") == F.col("_rule")) & (F.col("s") == F.col("_s")) & F.col("value").between(F.col("lo"), F.col("hi")))
+        place = F.floor((F.col("value") - F.col("lo")) / (F.col("hi") - F.col("lo")) * bins)
+        counted = inside.groupBy("k", place.alias("bin")).agg(F.count("*").alias("n"), F.min("value").alias("least"), F.max("value").alias("most")).collect()
+        narrowed: dict[tuple[str, int, float, float], set[int]] = {}
+        below = [0] * len(brackets)
+        for r in sorted(counted, key=lambda r: (r.k, r.bin)):
+            rule, s, lo, hi = brackets[r.k]
+            ranks = {x - below[r.k] for x in wanted[rule, s, lo, hi] if 0 <= x - below[r.k] < r.n}
+            if ranks:
+                narrowed[rule, s, r.least, r.most] = ranks
+            below[r.k] += r.n
+        wanted = narrowed
+    return sorted(done)
+
+
+def learn_from_counts(counted: DataFrame, labels: DataFrame, risk: float = RISK, delta: float = DELTA) -> dict[tuple[str, int], float]:
+    """Cutoffs from all labelled documents of `counted` (doc_id and the base counts)."""
+    spark = counted.sparkSession
     chosen = labels.filter("doc_id IS NOT NULL AND quality IS NOT NULL").groupBy(F.col("doc_id").alias("_id")).agg(F.min("quality").alias("_quality"))
-    chosen = chosen.withColumn("_digest", digest).orderBy("_digest", "_id").limit(sample)
-    # broadcast: `sample` bounds the rows
-    rows = docs.select("doc_id", "text").join(F.broadcast(chosen), F.col("doc_id") == F.col("_id")).select("text", "_quality", "_digest")
-    found = base_statistics(rows).filter(~base_failed()).select(*(c.alias(f"r_{n}") for n, c in rules().items()), stratum().alias("s"), "_quality", (F.conv(F.substring("_digest", 1, 1), 16, 10).cast("int") % 2).alias("h"))
-    table = found.limit(2 * sample).toPandas()  # the limit only matters where doc_ids repeat
-    table = table.sort_values(list(table.columns))
-    values = {n: table[f"r_{n}"].to_numpy(float) for n in rules()}
-    return choose_cutoffs(values, table["s"].to_numpy(int), table["_quality"].to_numpy(int) == 1, table["h"].to_numpy(int) == 1, risk, delta)
-
-
-def apply_rules(docs: DataFrame, cutoffs: dict[tuple[str, int], float]) -> DataFrame:
-    """`docs` with the base counts, base_failed, rejected_by (the rules that reject it) and kept."""
-    counted = base_statistics(docs.drop("base_failed", "rejected_by", "kept"))
+    # The labels are a table before the join, so AQE can split a doc_id that very many rows have.
+    chosen = stash(chosen, "labels").filter("_quality = 1").select("_id")
+    half = F.conv(F.substring(F.md5(F.col("_id").cast("string")), 1, 1), 16, 10).cast("int") % 2
+    rows = counted.filter(~base_failed()).join(chosen, F.col("doc_id") == F.col("_id"))
+    rows = stash(rows.select(*(c.alias(f"r_{n}") for n, c in rules().items()), stratum().alias("s"), half.alias("h")), "good")
+    each = F.explode(F.array(*(F.struct(F.lit(n).alias("rule"), F.col(f"r_{n}").alias("value")) for n in rules())))
+    found = rows.select("s", "h", each.alias("r")).select("r.rule", "s", "r.value", "h")
+    proposed = quantiles(found.filter("h = 0").drop("h"))
+    if not proposed:
+        return {}
+    table = spark.createDataFrame([(k, *p) for k, p in enumerate(proposed)], "k int, _rule string, _s int, cutoff double")
+    # broadcast: at most one row for each rule, stratum and point
+    held = found.filter("h = 1").join(F.broadcast(table), (F.col("rule") == F.col("_rule")) & (F.col("s") == F.col("_s")))
+    counts = {r.k: (r.above, r.n) for r in held.groupBy("k").agg(F.count_if(F.col("value") > F.col("cutoff")).alias("above"), F.count("*").alias("n")).collect()}
+    return certify([(p, *counts.get(k, (0, 0))) for k, p in enumerate(proposed)], risk, delta)
+
+
+def learn_cutoffs(docs: DataFrame, labels: DataFrame, risk: float = RISK, delta: float = DELTA) -> dict[tuple[str, int], float]:
+    """Cutoffs from all labelled documents of `docs` (doc_id, text)."""
+    return learn_from_counts(base_statistics(docs.select("doc_id", "text")), labels, risk, delta)
+
+
+def judge(counted: DataFrame, cutoffs: dict[tuple[str, int], float]) -> DataFrame:
+    """`counted` (rows with the base counts) with base_failed, rejected_by (the rules that reject it) and kept."""
     checks = []
     for rule, value in rules().items():
         cutoff = F.lit(None).cast("double")
@@ -171,8 +233,14 @@ def apply_rules(docs: DataFrame, cutoffs: dict[tuple[str, int], float]) -> DataF
     return marked.withColumn("kept", ~F.col("base_failed") & (F.size("rejected_by") == 0))
 
 
+def apply_rules(docs: DataFrame, cutoffs: dict[tuple[str, int], float]) -> DataFrame:
+    """`docs` with the base counts, base_failed, rejected_by and kept."""
+    return judge(base_statistics(docs.drop("base_failed", "rejected_by", "kept")), cutoffs)
+
+
 def query(spark, sf_dir: str) -> DataFrame:
     """op7: base counts and verdict of every document."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
-    cutoffs = learn_cutoffs(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
-    return apply_rules(docs, cutoffs).select("doc_id", *NAMES, "base_failed", "kept")
+    counted = stash(base_statistics(docs).select("doc_id", *NAMES), "counts")
+    cutoffs = learn_from_counts(counted, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    return judge(counted, cutoffs).select("doc_id", *NAMES, "base_failed", "kept")

@@ -1,8 +1,10 @@
+import math
 import re
 from collections import Counter
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from pairloom.llm import quality_rules as Q
 
@@ -57,3 +59,30 @@ def test_clean_documents_stay(spark):
     sf = "/root/testdata/sf0.1"
     found = Q.query(spark, sf).join(spark.read.parquet(f"{sf}/labels.parquet"), "doc_id").filter("NOT base_failed").toPandas()
     assert found.kept[found.quality == 1].mean() > 0.97 and found.kept[found.quality == 0].mean() < 0.5
+
+
+def test_all_labelled_rows_choose_cutoffs(spark):
+    """More labels than the 40,000 that were once the most: cutoffs are those of all rows."""
+    n = 44_000
+    words = F.expr("concat_ws(' ', transform(sequence(1, 51), x -> concat('w', hash(id, x))), repeat('# ', int(pmod(hash(id), 1000) * pmod(hash(id, 7), 1000) / 20000)))")
+    docs = spark.range(n).select(F.col("id").alias("doc_id"), words.alias("text")).unionByName(spark.range(3).select(F.lit(5).cast("long").alias("doc_id"), F.lit("x " * 60).alias("text")))
+    labels = spark.range(n).select(F.col("id").alias("doc_id"), F.when(F.col("id") % 9 == 0, 0).otherwise(1).alias("quality")).unionByName(spark.createDataFrame([(7, 0)], "doc_id long, quality int"))
+    table = Q.base_statistics(docs).filter(~Q.base_failed()).select("doc_id", *(c.alias(k) for k, c in Q.rules().items()), Q.stratum().alias("s"), F.md5(F.col("doc_id").cast("string")).substr(1, 1).alias("h")).toPandas()
+    good = (table.doc_id % 9 != 0) & (table.doc_id != 7)
+    expected = Q.choose_cutoffs({k: table[k].to_numpy(float) for k in Q.rules()}, table.s.to_numpy(), good.to_numpy(), table.h.map(lambda x: int(x, 16) % 2 == 1).to_numpy())
+    assert expected and Q.learn_cutoffs(docs, labels) == expected
+
+
+def test_quantiles_are_exact(spark):
+    rng = np.random.default_rng(2)
+    groups = {("a", 0): rng.random(700), ("a", 1): np.round(rng.random(90), 1), ("b", 0): -np.exp(40 * rng.random(400)), ("b", 3): np.array([2.5])}
+    found = spark.createDataFrame([(r, s, float(x)) for (r, s), v in groups.items() for x in v], "rule string, s int, value double")
+    expected = sorted({(r, s, float(x)) for (r, s), v in groups.items() for x in np.quantile(v, Q.PROPOSALS, method="higher")})
+    assert Q.quantiles(found, bins=4) == Q.quantiles(found) == expected
+
+
+def test_binomial_tail_of_many():
+    slow = lambda k, n, p: sum(math.comb(n, i) * p**i * (1 - p) ** (n - i) for i in range(k + 1))
+    for k, n, p in ((0, 30, 0.02), (3, 300, 0.02), (9, 300, 0.02), (200, 900, 0.3)):
+        assert Q.binomial_tail(k, n, p) == pytest.approx(slow(k, n, p))
+    assert Q.binomial_tail(20_000_000, 1_000_000_000, 0.02) == pytest.approx(0.5, abs=1e-3)
