@@ -6,24 +6,43 @@ weighted blend are 0 if either string has no word. Null in, null out. Equal stri
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections import deque
+from collections.abc import Callable, Iterator
 
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
-def lcs_length(a: str, b: str) -> int:
-    """Length of the longest common subsequence, one big-integer step for each character of b."""
-    at: dict[str, int] = {}
+def _places(a: str) -> dict[str, int]:
+    """The places of each character of a, as bits."""
+    at: dict[str, list[int]] = {}
     for i, c in enumerate(a):
-        at[c] = at.get(c, 0) | 1 << i
-    full = (1 << len(a)) - 1
-    state = full
+        at.setdefault(c, []).append(i)
+    return {c: sum(1 << i for i in places) for c, places in at.items()}
+
+
+def _lcs_steps(at: dict[str, int], m: int, b: str) -> Iterator[int]:
+    """Length of the longest common subsequence with each beginning of b, the empty one left out; one big-integer step for each."""
+    state = full = (1 << m) - 1
     for c in b:
         u = state & at.get(c, 0)
         state = (state + u | state - u) & full
-    return len(a) - state.bit_count()
+        yield m - state.bit_count()
+
+
+def _lcs(at: dict[str, int], m: int, b: str) -> int:
+    state = full = (1 << m) - 1
+    get = at.get
+    for c in b:
+        if u := state & get(c, 0):
+            state = (state + u | state - u) & full
+    return m - state.bit_count()
+
+
+def lcs_length(a: str, b: str) -> int:
+    """Length of the longest common subsequence, one big-integer step for each character of b."""
+    return _lcs(_places(a), len(a), b)
 
 
 def ratio(a: str, b: str) -> float:
@@ -45,15 +64,17 @@ def partial(a: str, b: str) -> float:
 
 
 def _windows(short: str, long: str) -> float:
-    m, own = len(short), set(short)
-    best = 0.0
-    for start in range(1 - m, len(long)):
-        low, high = max(0, start), min(len(long), start + m)
-        # a window that ends (one at the right end: begins) with a foreign character has a neighbour that is as good
-        if (long[low] if high - low < m and start > 0 else long[high - 1]) not in own:
-            continue
-        if 200.0 * min(m, high - low) / (m + high - low) > best:
-            best = max(best, ratio(short, long[low:high]))
+    m, n = len(short), len(long)
+    at = _places(short)
+    # Windows at the left end are beginnings of the longer string, those at the right end are its endings: one pass for each side.
+    best = max(200.0 * k / (m + w) for w, k in enumerate(_lcs_steps(at, m, long[:m]), 1))
+    best = max(best, *(200.0 * k / (m + w) for w, k in enumerate(_lcs_steps(_places(short[::-1]), m, long[: n - m - 1 if n > m else None : -1]), 1)))
+    start = 0
+    while start + m <= n:
+        k = _lcs(at, m, long[start : start + m])
+        best = max(best, 200.0 * k / (m + m))
+        # a window that is j places on has at most k + j in common: go to the first one that can be better
+        start += max(1, int(best * m / 100.0 + 1e-9) - k + 1)
     return best
 
 
@@ -106,12 +127,16 @@ def jaro_winkler(a: str, b: str) -> float:
         return 0.0
     reach = max(max(len(a), len(b)) // 2 - 1, 0)
     taken, matched = [False] * len(b), []
+    places: dict[str, deque[int]] = {}
+    for j, c in enumerate(b):
+        places.setdefault(c, deque()).append(j)
     for i, c in enumerate(a):
-        for j in range(max(0, i - reach), min(len(b), i + reach + 1)):
-            if not taken[j] and b[j] == c:
-                taken[j] = True
-                matched.append(c)
-                break
+        free = places.get(c)
+        while free and free[0] < i - reach:  # no later character reaches back to it either
+            free.popleft()
+        if free and free[0] <= i + reach:
+            taken[free.popleft()] = True
+            matched.append(c)
     if not matched:
         return 0.0
     m = len(matched)

@@ -541,10 +541,10 @@ def errors_fn(spark, sf):
 
 @query()
 def gbt_predict(spark, sf):
-    """Train on the noisy world's fit fold and score all of its candidates."""
-    records, truth = world.noisy_world(spark, sf)
+    """Train on the fit fold of the noisy world of whole records and score all of its candidates."""
+    records, truth = world.whole_noisy_world(spark, sf)
     found = normalize(records).cache()
     meta = sampling.s1_meta(found, truth)
     pairs = P.build_features(B.generate_candidates(found).drop("from_extra"), found, truth, meta).cache()
-    model = matcher.train(pairs, P.feature_columns(pairs), maxIter=10, maxDepth=5, minInstancesPerNode=5)
+    model = matcher.train(pairs, P.feature_columns(pairs))
     return matcher.predict(model, pairs)

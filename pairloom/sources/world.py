@@ -52,19 +52,33 @@ def scored_meta(spark: SparkSession, sf_dir: str) -> DataFrame:
     return orders.join(true, "s1_idx", "left").select("s1_idx", F.coalesce("n_true", F.lit(0)).alias("n_true"))
 
 
+def short_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """records() cut to eight words of the name, and a made-up number and six words of the address: for tests only."""
+    base = records(spark, sf_dir).withColumn("business_name", F.array_join(F.slice(F.split("business_name", " "), 1, 8), " "))
+    return base.withColumn("business_address", F.concat((F.col("idx") % 977 + 10).cast("string"), F.lit(" "), F.array_join(F.slice(F.split(F.col("business_address"), " "), 1, 6), " ")))
+
+
 def noisy_world(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    """(records, truth) with 0 to 4 noisy copies of each source-1 record in sources 2 and 3; all other documents are distractors.
+    """with_noisy_copies() of short records, a fixture that tests can train on in seconds; queries take whole_noisy_world()."""
+    return with_noisy_copies(short_records(spark, sf_dir))
+
 
-    The noise of copy i of a record is chosen by md5(idx || i). Names are the first eight words of the first line.
+def whole_noisy_world(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """with_noisy_copies() of the records as they are."""
+    return with_noisy_copies(records(spark, sf_dir))
+
+
+def with_noisy_copies(base: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(records, truth) with 0 to 4 noisy copies of each source-1 record in sources 2 and 3; all other records are distractors.
+
+    The noise of copy i of a record is chosen by md5(idx || i).
     """
-    base = records(spark, sf_dir).withColumn("business_name", F.array_join(F.slice(F.split("business_name", " "), 1, 8), " "))
-    base = base.withColumn("business_address", F.concat((F.col("idx") % 977 + 10).cast("string"), F.lit(" "), F.array_join(F.slice(F.split(F.col("business_address"), " "), 1, 6), " ")))
     draw = lambda salt: F.conv(F.substring(F.md5(F.concat(F.col("idx").cast("string"), F.lit(salt), F.col("i").cast("string"))), 1, 6), 16, 10).cast("long")
     copies = base.filter("src = 1").withColumn("i", F.explode(F.sequence(F.lit(1), F.lit(4)))).filter(draw("n") % 5 >= F.col("i"))
     words = F.split("business_name", " ")
     kind = draw("k") % len(NOISE)
     noisy = {
-        0: F.array_join(F.slice(words, 2, 100), " "),
+        0: F.array_join(F.slice(words, 2, F.greatest(F.size(words), F.lit(1))), " "),
         1: F.concat_ws(" ", "business_name", F.get(words, F.lit(0))),
         2: F.array_join(F.reverse(words), " "),
         3: F.translate("business_name", "eao", "éàô"),
