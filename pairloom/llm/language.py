@@ -153,7 +153,7 @@ def fit(docs: DataFrame, sample: int = SAMPLE) -> Model:
     """A model from at most `sample` rows of `docs` (doc_id, text, lang), none of the held-out fold, as many of each language."""
     spark = docs.sparkSession
     small_batches(spark)
-    known = docs.select("doc_id", "lang").filter("lang IS NOT NULL AND doc_id IS NOT NULL").filter(crc_bucket(F.col("doc_id"), FOLDS) != HELD_OUT)
+    known = docs.select("doc_id", "lang").filter("lang IS NOT NULL AND doc_id IS NOT NULL").filter(crc_bucket(F.col("doc_id"), FOLDS) != HELD_OUT).distinct()
     digest = F.md5(F.col("doc_id").cast("string"))
     n_langs = max(1, known.select("lang").distinct().count())
     # Only hashes below a bound that leaves some times the wanted rows of a language are ranked, so a common one meets in no single task.
@@ -162,9 +162,9 @@ def fit(docs: DataFrame, sample: int = SAMPLE) -> Model:
     draw = known.join(F.broadcast(counts) if n_langs <= sample else counts, F.col("lang") == F.col("_l")).withColumn("_h", digest)
     draw = draw.filter(F.conv(F.substring("_h", 1, 8), 16, 10).cast("double") / 2**32 <= 4.0 * each / F.col("_n") + 64.0 / F.col("_n"))
     ranked = draw.withColumn("_k", F.row_number().over(Window.partitionBy("lang").orderBy("_h", "doc_id"))).filter(F.col("_k") <= each)
-    chosen = ranked.select(F.col("doc_id").alias("_id"), F.col("lang").alias("_lang"), "_h").distinct().limit(sample)
-    # broadcast: `sample` bounds the rows; the limit further down only matters where doc_ids repeat
-    rows = docs.select("doc_id", "text").join(F.broadcast(chosen), F.col("doc_id") == F.col("_id")).select("text", "_lang", "_h")
+    chosen = ranked.select(F.col("doc_id").alias("_id"), F.col("lang").alias("_lang"), "_h").orderBy("_h", "_id", "_lang").limit(sample)
+    # broadcast: `sample` bounds the rows
+    rows = docs.select("doc_id", "text", "lang").join(F.broadcast(chosen), (F.col("doc_id") == F.col("_id")) & (F.col("lang") == F.col("_lang"))).select("text", "_lang", "_h")
 
     def vectors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -175,7 +175,10 @@ def fit(docs: DataFrame, sample: int = SAMPLE) -> Model:
             arrays = [pa.array([w.astype(np.int32) for w in where], pa.list_(pa.int32())), pa.array([c[w].astype(np.int32) for c, w in zip(found, where)], pa.list_(pa.int32()))]
             yield pa.RecordBatch.from_arrays([batch.column(1).take(pa.array(kept, pa.int64())), batch.column(2).take(pa.array(kept, pa.int64())), *arrays], names=["lang", "h", "at", "n"])
 
-    table = rows.mapInArrow(vectors, "lang string, h string, at array<int>, n array<int>").limit(2 * sample).toArrow().sort_by([("h", "ascending"), ("lang", "ascending")])
+    counted = rows.mapInArrow(vectors, "lang string, h string, at array<int>, n array<int>")
+    # Of the rows of a doc_id and language the one with the least counts teaches, so `sample` bounds the rows.
+    least = counted.groupBy("lang", "h").agg(F.min(F.struct("at", "n")).alias("v")).select("lang", "h", "v.at", "v.n")
+    table = least.toArrow().sort_by([("h", "ascending"), ("lang", "ascending")])
     x = np.zeros((table.num_rows, DIMENSIONS), np.float32)
     for i, (at, n) in enumerate(zip(table.column("at").combine_chunks(), table.column("n").combine_chunks())):
         x[i, at.values.to_numpy()] = np.sqrt(n.values.to_numpy())

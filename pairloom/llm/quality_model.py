@@ -9,7 +9,7 @@ Scale. Scoring is one narrow pass of JVM expressions: no shuffle, no Python. Lea
 doc_id, whose statistics go to the driver.
 
 Defined results. Null text counts as empty; an empty text has zero in all statistics and is scored by the same rules. Null labels are left
-out; of several labels of a doc_id the lowest counts. Equal texts have equal scores. With no labels, or labels of one kind only, the score is
+out; of several labels of a doc_id the lowest counts, and of several rows of a doc_id the one with the least statistics teaches. Equal texts have equal scores. With no labels, or labels of one kind only, the score is
 the labels' mean (0.5 without any). An empty table gives an empty table. Input columns named as an added column are replaced;
 labels, lang, source and doc_id are no input of a score.
 """
@@ -191,9 +191,11 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> tuple[float
     chosen = labels.filter("doc_id IS NOT NULL AND quality IS NOT NULL").filter(crc_bucket(F.col("doc_id"), FOLDS) != 0)
     chosen = chosen.groupBy(F.col("doc_id").alias("_id")).agg(F.min("quality").cast("double").alias("_y"))
     chosen = chosen.withColumn("_digest", F.md5(F.col("_id").cast("string"))).orderBy("_digest", "_id").limit(sample)
-    rows = docs.select("doc_id", "text").join(F.broadcast(chosen), F.col("doc_id") == F.col("_id")).limit(2 * sample)
+    rows = docs.select("doc_id", "text").join(F.broadcast(chosen), F.col("doc_id") == F.col("_id"))
     names = list(ratios({n: F.lit(1) for n in statistics(F.lit(""))}))
-    table = with_statistics(rows).select("_digest", "_y", *(F.col(f"_s.{n}").alias(n) for n in names)).toPandas().sort_values(["_digest", *names])
+    # Of the rows of a doc_id the one with the least statistics teaches, so `sample` bounds the rows.
+    least = with_statistics(rows).groupBy("_id", "_digest", "_y").agg(F.min("_s").alias("_s"))
+    table = least.select("_digest", "_y", *(F.col(f"_s.{n}").alias(n) for n in names)).toPandas().sort_values(["_digest", *names])
     return learn_rules(table[names].to_numpy(float), table["_y"].to_numpy(float), names)
 
 

@@ -39,3 +39,11 @@ def test_edge_rows(docs, none, plain):
         assert 0 <= r.score <= 1
     assert L.identify(none, model).isEmpty()
     assert {r.lang_pred for r in L.identify(docs, L.fit(none)).collect()} == {"und"}
+
+
+def test_repeated_rows_crowd_out_no_other(spark, sf_dir):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text", "lang")
+    own = docs.filter(crc_bucket(F.col("doc_id"), L.FOLDS) != L.HELD_OUT).orderBy(F.md5(F.col("doc_id").cast("string"))).first().doc_id
+    again = docs.filter(F.col("doc_id") == own).crossJoin(spark.range(300)).drop("id")
+    a, b = L.fit(docs, sample=40), L.fit(again.unionByName(docs).coalesce(1), sample=40)
+    assert a.families == b.families and (a.weights == b.weights).all()

@@ -42,3 +42,11 @@ def test_edge_rows(spark, docs, none, plain):
     assert Q.score(none, model).isEmpty()
     no_labels = labels.limit(0)
     assert [r.score for r in Q.score(docs, Q.fit(docs, no_labels)).limit(2).collect()] == [pytest.approx(0.5)] * 2
+
+
+def test_repeated_rows_crowd_out_no_other(spark, sf_dir):
+    docs, labels = spark.read.parquet(f"{sf_dir}/documents.parquet"), spark.read.parquet(f"{sf_dir}/labels.parquet")
+    own = labels.filter(crc_bucket(F.col("doc_id"), 5) != 0).orderBy(F.md5(F.col("doc_id").cast("string"))).first().doc_id
+    again = docs.filter(F.col("doc_id") == own).crossJoin(spark.range(150)).drop("id")
+    expected = Q.fit(docs, labels, sample=60)
+    assert expected[1] and Q.fit(again.unionByName(docs).coalesce(1), labels, sample=60) == expected
