@@ -33,8 +33,9 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from pairloom.llm.common import small_batches, stash, utf8
+from pairloom.llm.common import annotate, small_batches, stash, utf8
 from pairloom.llm.graph import connected_components
 
 SHINGLE = 3
@@ -177,31 +178,49 @@ def links(distinct: DataFrame, radius: int = RADIUS, sample: int = SAMPLE, leaf:
 
 def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIUS) -> DataFrame:
     """(doc_id, fp, component_id) of every row of `docs` (doc_id, text)."""
-    small_batches(docs.sparkSession)
-    fps = stash(fingerprints(docs, shingle), "fingerprints")
+    return _components(stash(fingerprints(docs, shingle), "fingerprints"), radius).select("doc_id", "fp", "component_id")
+
+
+def _components(fps: DataFrame, radius: int) -> DataFrame:
+    """`fps` (doc_id, fp) with root, the least fingerprint of the component, and component_id."""
     distinct = fps.groupBy("fp").agg(F.min("doc_id").alias("first"))
     members = connected_components(links(distinct.select("fp"), radius))
     roots = distinct.join(members.select(F.col("node").alias("fp"), "root"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
     least = roots.groupBy("root").agg(F.min("first").alias("component_id"))
-    classes = roots.select("fp", "root").join(least, "root").select(F.col("fp").alias("_fp"), "component_id")
-    return fps.join(classes, F.col("fp") == F.col("_fp")).select("doc_id", "fp", "component_id")
+    classes = roots.select("fp", "root").join(least, "root").select(F.col("fp").alias("_fp"), "root", "component_id")
+    return fps.join(classes, F.col("fp") == F.col("_fp")).select("doc_id", "fp", "root", "component_id")
 
 
-def drop_near_duplicates(docs: DataFrame, **options) -> DataFrame:
-    """One document of each component, the one with the least doc_id; columns of `docs`. Of repeated rows of that id, one stays.
+def drop_near_duplicates(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIUS) -> DataFrame:
+    """One row of each component, of the least doc_id and then the least fingerprint; columns of `docs`. Of repeated rows of that, one stays.
 
-    A component of which every doc_id is null keeps all its rows.
+    A component of which every doc_id is null keeps all its rows. Rows whose doc_id is null or has several rows are told apart by
+    fingerprint, which is made again for those rows only; all others by doc_id.
     """
-    found = near_duplicates(docs, **options)
-    keep = found.filter("doc_id IS NULL AND component_id IS NULL OR doc_id = component_id").groupBy(F.col("component_id").alias("_keep")).agg(F.count("*").alias("_n"))
-    keep = stash(keep, "kept")
+    fps = stash(fingerprints(docs, shingle), "fingerprints")
+    found = _components(fps, radius)
+    first = found.filter("doc_id = component_id").groupBy("root").agg(F.min("doc_id").alias("_keep"), F.min("fp").alias("_fp"))
+    rows = fps.filter("doc_id IS NOT NULL").groupBy(F.col("doc_id").alias("_d")).agg((F.count("*") > 1).alias("_many"))
+    keep = stash(first.join(rows, F.col("_keep") == F.col("_d")).select("_keep", "_fp", "_many"), "kept")
     packed = docs.select(F.col("doc_id").alias("_id"), F.struct(*docs.columns).alias("_row"))
-    # A merge join at every size: the kept ids grow with the corpus, and are broadcast only where they happen to be few.
-    kept = packed.join(keep.hint("merge"), F.col("_id").eqNullSafe(F.col("_keep")))
-    if keep.filter("_n > 1 AND _keep IS NOT NULL").isEmpty():
-        return kept.select("_row.*")
-    once = kept.filter("_n = 1 OR _keep IS NULL").select("_row.*")
-    return once.unionByName(kept.filter("_n > 1 AND _keep IS NOT NULL").dropDuplicates(["_keep"]).select("_row.*"))
+
+    def printed(some: DataFrame) -> DataFrame:
+        run = lambda texts: [pa.array(np.array([fingerprint(t, shingle) for t in texts], np.uint64).view(np.int64))]
+        return annotate(some.select("_id", "_row", F.col("_row.text").alias("text")), run, T.StructType([T.StructField("_print", T.LongType())])).drop("text")
+
+    # Merge joins at every size: the kept ids grow with the corpus, and are broadcast only where they happen to be few.
+    kept = packed.join(keep.filter("NOT _many").hint("merge"), F.col("_id") == F.col("_keep")).select("_row.*")
+    many = keep.filter("_many").select("_keep", "_fp")
+    if not many.isEmpty():
+        ids = many.select("_keep").distinct()
+        own = printed(packed.join(ids.hint("merge"), F.col("_id") == F.col("_keep"), "left_semi"))
+        same = own.join(many.hint("merge"), (F.col("_id") == F.col("_keep")) & (F.col("_print") == F.col("_fp")))
+        kept = kept.unionByName(same.dropDuplicates(["_id", "_print"]).select("_row.*"))
+    if not fps.filter("doc_id IS NULL").isEmpty():
+        loose = stash(found.filter("doc_id IS NULL AND component_id IS NULL").select("fp").distinct(), "loose")
+        own = printed(packed.filter("_id IS NULL"))
+        kept = kept.unionByName(own.join(loose, F.col("_print") == F.col("fp"), "left_semi").select("_row.*"))
+    return kept
 
 
 def query(spark, sf_dir: str) -> DataFrame:

@@ -84,3 +84,11 @@ def test_one_document_of_each_group_stays(docs, none, plain):
     ids = [r.doc_id for r in kept.collect()]
     assert ids.count(150) == 1 and not set(range(100, 106)) & set(ids) and set(range(6)) <= set(ids)
     assert S.drop_near_duplicates(none).isEmpty() and S.near_duplicates(none).isEmpty()
+
+
+def test_rows_of_one_doc_id_are_kept_by_component(spark):
+    text = lambda k: " ".join(f"w{k}x{i * i % 97}" for i in range(60))
+    rows = [(1, text(1)), (5, text(2)), (5, text(3)), (5, text(1)), (5, text(3)), (7, text(2)), (None, text(1)), (None, text(4))]
+    kept = S.drop_near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    expected = [(1, text(1)), (5, text(2)), (5, text(3)), (None, text(4))]
+    assert sorted((r.doc_id or 0, r.text) for r in kept) == sorted((i or 0, t) for i, t in expected)
