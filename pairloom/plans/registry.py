@@ -75,10 +75,10 @@ def truth_pairs(spark, sf):
     return world.truth(world.records(spark, sf))
 
 
-@query("SELECT o_orderkey AS id, CAST(row_number() OVER (ORDER BY o_orderkey) - 1 AS INTEGER) AS idx FROM orders")
+@query("SELECT o_orderkey AS id, row_number() OVER (ORDER BY o_orderkey) - 1 AS idx, md5(repeat('w' || o_orderkey, 20)) AS wide FROM orders")
 def dense_idx(spark, sf):
-    orders = spark.read.parquet(f"{sf}/orders.parquet").select(F.col("o_orderkey").alias("id"))
-    return tables.with_dense_idx(orders, ["id"]).select("id", "idx")
+    orders = spark.read.parquet(f"{sf}/orders.parquet").select(F.col("o_orderkey").alias("id"), F.repeat(F.concat(F.lit("w"), F.col("o_orderkey").cast("string")), 20).alias("wide"))
+    return tables.with_dense_idx(orders.repartition(16), ["id"]).select("id", "idx", F.md5("wide").alias("wide"))
 
 
 @query("SELECT id, unnest(string_split(ids, ',')) AS item FROM (SELECT l_orderkey AS id, string_agg(CAST(l_partkey AS VARCHAR), ',') AS ids FROM lineitem GROUP BY 1)")

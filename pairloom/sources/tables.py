@@ -9,6 +9,8 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from pairloom.sources.scratch import stash
+
 SOURCE_COLUMNS = ["entity_id", "business_name", "business_address", "country"]
 _STRINGS = lambda names: T.StructType([T.StructField(n, T.StringType()) for n in names])
 
@@ -37,13 +39,21 @@ def read_sources(spark: SparkSession, directory: str, prefix: str) -> DataFrame:
 
 
 def with_dense_idx(records: DataFrame, order: list[str]) -> DataFrame:
-    """`records` with idx 0, 1, 2, ... in the given order: ranges, their sizes, and an offset for each, so no single task sorts all."""
-    ranged = records.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("_part", F.spark_partition_id())
-    numbered = ranged.withColumn("_in", F.row_number().over(Window.partitionBy("_part").orderBy(*order)))
-    sizes = numbered.groupBy("_part").agg(F.count("*").alias("_n"))
+    """`records` with idx 0, 1, 2, ... in the given order, without any task that sorts all rows.
+
+    Rows are dealt to ranges and sorted inside them; that table is written once, so that numbers, sizes and offsets of the ranges
+    are those of the same rows. Repeated rows get a number each. An empty table gives an empty table.
+    """
+    ranged = records.repartitionByRange(*order).sortWithinPartitions(*order)
+    # the range in the upper bits, the row's place in the lower 33 ones
+    written = stash(ranged.withColumn("_place", F.monotonically_increasing_id()), "ranges")
+    part = F.shiftright("_place", 33)
+    sizes = written.groupBy(part.alias("_part")).agg(F.count("*").alias("_n"))
     before = F.coalesce(F.sum("_n").over(Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    # broadcast: one row for each shuffle partition
     offsets = sizes.select("_part", before.alias("_base"))
-    return numbered.join(F.broadcast(offsets), "_part").withColumn("idx", (F.col("_base") + F.col("_in") - 1).cast("int")).drop("_part", "_in", "_base")
+    numbered = written.join(F.broadcast(offsets), part == F.col("_part"))
+    return numbered.withColumn("idx", F.col("_base") + F.col("_place").bitwiseAND((1 << 33) - 1)).drop("_part", "_place", "_base")
 
 
 def explode_ids(lists: DataFrame, key: str, ids: str, out: tuple[str, str]) -> DataFrame:

@@ -1,7 +1,13 @@
+import os
 import zipfile
 
+import pytest
+from pyspark.sql import Window
+from pyspark.sql import functions as F
+
 from pairloom.plans import pipeline
 from pairloom.sources import tables
+from pairloom.sources.scratch import discard, stash
 
 
 def test_sources_and_lists(spark, tmp_path):
@@ -34,3 +40,37 @@ def test_package(tmp_path):
     (tmp_path / "r.tsv").write_text("x")
     names = pipeline.package({"output/r.tsv": str(tmp_path / "r.tsv")}, str(tmp_path / "code"), str(tmp_path / "z.zip"))
     assert names == ["code/a.py", "output/r.tsv"] == sorted(zipfile.ZipFile(tmp_path / "z.zip").namelist())
+
+
+@pytest.mark.parametrize("partitions", ["8", "64"])
+def test_dense_idx_of_wide_rows(spark, tmp_path, partitions):
+    """Many wide rows in many ranges, written and read back: every number once, in order."""
+    n, old = 600_000, spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", partitions)
+    try:
+        wide = F.concat(*(F.sha2(F.concat(F.col("id"), F.lit(str(k))), 256) for k in range(3)))
+        rows = spark.range(n).select((F.col("id") * 7919 % n).alias("k"), wide.alias("wide"), (F.col("id") % 3).alias("g")).repartition(16)
+        tables.with_dense_idx(rows, ["g", "k"]).write.parquet(str(tmp_path / "out"))
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", old)
+    out = spark.read.parquet(str(tmp_path / "out"))
+    assert tuple(out.agg(F.count("*"), F.countDistinct("idx"), F.min("idx"), F.max("idx")).first()) == (n, n, 0, n - 1)
+    step = out.select("g", "k", "idx", F.lag("idx").over(Window.partitionBy("g").orderBy("k")).alias("before")).filter("before IS NOT NULL AND idx <= before")
+    assert step.isEmpty()
+
+
+def test_dense_idx_of_few_rows(spark):
+    rows = spark.createDataFrame([(2, "a"), (1, "b"), (2, "a"), (None, "c")], "k int, t string")
+    assert sorted((r.idx, r.k) for r in tables.with_dense_idx(rows, ["k"]).collect()) == [(0, None), (1, 1), (2, 2), (3, 2)]
+    assert tables.with_dense_idx(rows.limit(0), ["k"]).isEmpty()
+
+
+def test_stash(spark):
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(key)
+    made = stash(spark.range(10).repartition(3, "id"), "test")
+    assert made.count() == 10 and spark.conf.get(key) == before
+    path = made.inputFiles()[0].removeprefix("file:")
+    assert os.path.exists(path)
+    discard(made)
+    assert not os.path.exists(path)
