@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from pairloom.llm.common import small_batches, with_columns
+from pairloom.llm.common import with_columns
 
 CONTROLS = ("<|", "|>", "</s>", "<s>", "[INST]", "[/INST]", "<<SYS>>", "<</SYS>>")
 OPEN, CLOSE, END = b"<|turn:", b"|>", b"</s>"
@@ -92,7 +92,6 @@ def format_turns(turns: DataFrame) -> DataFrame:
 
     Row by row, in whatever order and partitions the turns are.
     """
-    small_batches(turns.sparkSession)
     names = [f.name for f in ADDED]
     schema = T.StructType([f for f in turns.schema if f.name not in names] + list(ADDED))
 

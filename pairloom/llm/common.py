@@ -1,63 +1,28 @@
-"""What the operators of this package share: tables in the shared folder, Arrow batches and hashing."""
+"""What the operators of this package share: Arrow batches and hashing.
+
+Arrow batches are bounded in bytes by Spark itself (spark.sql.execution.arrow.maxBytesPerBatch, 64 MB), so no operator changes a
+setting of the session.
+"""
 
 from __future__ import annotations
 
-import tempfile
-import uuid
 from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from pairloom.sources.scratch import discard, shared_dir, stash
+
+__all__ = ["SPACES", "WORD", "annotate", "crc_bucket", "discard", "lists", "shared_dir", "stash", "utf8", "with_columns"]
+
 #: Words of the contracts that split at ASCII white space: the same set that bytes.split() uses.
 WORD = r"[^\x20\x09-\x0D]+"
 SPACES = r"[\x20\x09-\x0D]+"
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that all machines of the cluster share; a temporary one only where none is set (tests)."""
-    found = spark.conf.get("spark.checkpoint.dir", None)
-    if not found:
-        checkpoint = spark.sparkContext._jsc.sc().getCheckpointDir()
-        found = checkpoint.get() if checkpoint.isDefined() else None
-    if not found:
-        found = tempfile.mkdtemp(prefix="pairloom-")
-        spark.sparkContext.setCheckpointDir(found)
-        found = spark.sparkContext._jsc.sc().getCheckpointDir().get()
-    return found
-
-
-def stash(df: DataFrame, name: str) -> DataFrame:
-    """Write `df` as Parquet below the shared folder and read it back: the lineage ends there, and any executor can be lost.
-
-    The files go when the driver's JVM ends.
-    """
-    spark = df.sparkSession
-    path = f"{shared_dir(spark).rstrip('/')}/pairloom/{name}-{uuid.uuid4().hex}"
-    df.write.option("compression", "zstd").parquet(path)
-    jvm = spark.sparkContext._jvm
-    where = jvm.org.apache.hadoop.fs.Path(path)
-    where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(where)
-    return spark.read.schema(df.schema).parquet(path)
-
-
-def release(spark: SparkSession) -> None:
-    """Ask the JVM to collect shuffles whose DataFrames are gone, so that their files leave the disks."""
-    import gc
-
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
-
-
-def small_batches(spark: SparkSession, rows: int = 1024) -> None:
-    """Bound what one Arrow batch holds: whole texts may be long."""
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
-    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(16 << 20))
-
-
 def crc_bucket(doc_id, n: int):
     """crc32 of the id as text, modulo n: the folds of the contracts."""
     return F.crc32(doc_id.cast("string").cast("binary")) % n
@@ -81,7 +46,6 @@ def annotate(df: DataFrame, function: Callable[[list[bytes | None]], list[pa.Arr
 
     One narrow Arrow pass: no shuffle, one batch in memory at a time. All other columns are carried through as they are.
     """
-    small_batches(df.sparkSession)
     names = [f.name for f in added]
     schema = T.StructType([f for f in df.schema if f.name not in names] + list(added))
 

@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from pairloom.llm.common import small_batches, utf8, with_columns
+from pairloom.llm.common import utf8, with_columns
 
 WINDOW = 10
 BLOCK_WORDS = 2_000_000
@@ -53,7 +53,6 @@ def word_counts(docs: DataFrame, vocabulary: list[bytes]) -> dict[bytes, int]:
     """How often all of `docs` hold each word of the vocabulary, which a block of the benchmark bounds."""
     spark = docs.sparkSession
     shared = spark.sparkContext.broadcast(frozenset(vocabulary))
-    small_batches(spark)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         found: Counter = Counter()
@@ -134,7 +133,6 @@ def match_block(docs: DataFrame, counted: DataFrame, block: list, window: int, a
     ids, items = [i for i, _ in block], [w for _, w in block]
     counts = word_counts(counted, sorted({w for words in items for w in words}))
     shared = spark.sparkContext.broadcast((ids, items, anchors_of(items, counts, window)))
-    small_batches(spark)
     names = [f.name for f in ADDED]
     schema = T.StructType([f for f in docs.schema if f.name not in names] + list(ADDED))
 

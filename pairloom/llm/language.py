@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from pairloom.llm.common import annotate, crc_bucket, small_batches, utf8
+from pairloom.llm.common import annotate, crc_bucket, utf8
 
 BITS = 12
 DIMENSIONS = 1 << BITS
@@ -152,7 +152,6 @@ class Model:
 def fit(docs: DataFrame, sample: int = SAMPLE) -> Model:
     """A model from at most `sample` rows of `docs` (doc_id, text, lang), none of the held-out fold, as many of each language."""
     spark = docs.sparkSession
-    small_batches(spark)
     known = docs.select("doc_id", "lang").filter("lang IS NOT NULL AND doc_id IS NOT NULL").filter(crc_bucket(F.col("doc_id"), FOLDS) != HELD_OUT).distinct()
     digest = F.md5(F.col("doc_id").cast("string"))
     n_langs = max(1, known.select("lang").distinct().count())

@@ -35,7 +35,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from pairloom.llm.common import annotate, small_batches, stash, utf8
+from pairloom.llm.common import annotate, stash, utf8
 from pairloom.llm.graph import connected_components
 
 SHINGLE = 3
@@ -66,7 +66,6 @@ def fingerprint(text: bytes | None, shingle: int = SHINGLE, seed: int = SEED) ->
 
 def fingerprints(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
     """(doc_id, fp) of every row; fp holds the 64 bits as a signed long."""
-    small_batches(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

@@ -25,7 +25,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from pairloom.llm.common import small_batches, stash, utf8
+from pairloom.llm.common import stash, utf8
 from pairloom.llm.encoding import encoder
 from pairloom.llm.tokens import tokenizer_path
 
@@ -37,7 +37,6 @@ _NAMES = ["shard", "block", "content", "doc_ids"]
 
 def write_flat(docs: DataFrame, path: str, end_id: int = END_OF_DOCUMENT, block_ids: int = BLOCK_IDS) -> DataFrame:
     """(shard, block, content, doc_ids): flat files in blocks. doc_ids names the documents that end in a block, in order; no offsets."""
-    small_batches(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode, shard, number = encoder(path, False), TaskContext.get().partitionId(), 0

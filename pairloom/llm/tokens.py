@@ -31,7 +31,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from pairloom.llm.common import small_batches, stash, utf8
+from pairloom.llm.common import stash, utf8
 from pairloom.llm.encoding import encoder
 
 END_ID = 2
@@ -137,7 +137,6 @@ def write_block(doc_ids: list[int | None], encoded: list[bytes], width: int) ->
 
 def encode_documents(docs: DataFrame, path: str, end_id: int = END_ID, special: bool = True) -> DataFrame:
     """The blocks of all documents: shard and block number them in the order of doc_id."""
-    small_batches(docs.sparkSession)
     ordered = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
