@@ -20,4 +20,5 @@ ORACLE_SQL = {
     "op1_mix_sources": mixing.ORACLE,
     "op4_decontaminate": decontaminate.ORACLE,
     "op5_chat": chat.ORACLE,
+    "op8_substrings": substrings.ORACLE,
 }
