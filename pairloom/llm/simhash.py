@@ -5,12 +5,13 @@ hashes (seed 42) of all 3-word shingles, repeats included, have it. Fingerprints
 component_id of a document is the least doc_id that links reach.
 
 Which pairs are compared. Whole 64-bit distances of unrelated texts crowd around 32, where a triangle bound of 3 prunes next to
-nothing. Of two fingerprints within 3 bits, though, one 32-bit half differs in at most 1 bit. So there is a vantage-point
-tree for each half, whose metric is the Hamming distance of that half with radius 1. A node has a vantage point v and
-a cutoff c: halves x with d(x, v) <= c go inside, the others outside, and those with d(x, v) = c + 1, whose ball reaches over the boundary,
-go inside too. By the triangle inequality two halves within 1 bit meet in a leaf, so a leaf is a shard that needs no other.
-The trees are built on the driver from a sample of at most SAMPLE distinct fingerprints, and broadcast (their size is bounded by
-the sample); every distinct fingerprint is routed. Shards are searched exactly, with the whole 64 bits.
+nothing. Of two fingerprints within r bits, though, one 32-bit half differs in at most r // 2 bits. So there is a vantage-point
+tree for each half, whose metric is the Hamming distance of that half with radius r // 2. A node has a vantage point v and
+a cutoff c: halves x with d(x, v) <= c go inside, the others outside, and those whose ball reaches over the boundary
+(c < d(x, v) <= c + radius) go inside too. By the triangle inequality two halves within the radius meet in a leaf, so a leaf is a shard that needs
+no other. Where very many fingerprints share a half, no vantage point separates them; there the tree goes on over the other half, by its
+four bytes, one of which differs in at most r // 4 bits. The trees are built on the driver from a sample of at most SAMPLE distinct fingerprints, and
+broadcast (their size is bounded by the sample); every distinct fingerprint is routed. Shards are searched exactly, with the whole 64 bits.
 
 Scale. Copies fall together before anything else: only distinct fingerprints (aggregated before the shuffle) enter the trees. A
 shard returns a spanning forest of its links, never its pairs, so the rows stay in proportion to the fingerprints; a search drops
@@ -20,7 +21,8 @@ joins (tables in the shared folder after each round; nothing is collected).
 
 Defined results. Null, empty and blank texts have no words: fingerprint zero, linked like any other. Repeated rows get a result
 each. Rows with a null doc_id get one as well, but a null never is a component_id unless all rows of the component have it.
-An empty table gives an empty table. near_duplicates() keeps no other column; drop_near_duplicates() keeps all, whatever their names.
+An empty table gives an empty table. near_duplicates() keeps no other column; drop_near_duplicates() keeps all, whatever their names, and of each
+component the row of the least doc_id (null last), fingerprint and text hash, once if the row is repeated.
 """
 
 from __future__ import annotations
@@ -35,7 +37,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from pairloom.llm.common import annotate, stash, utf8
+from pairloom.llm.common import discard, stash, utf8
 from pairloom.llm.graph import connected_components
 
 SHINGLE = 3
@@ -64,56 +66,73 @@ def fingerprint(text: bytes | None, shingle: int = SHINGLE, seed: int = SEED) ->
     return int(np.packbits(counts * 2 > len(hashes), bitorder="little").view(np.uint64)[0])
 
 
-def fingerprints(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
-    """(doc_id, fp) of every row; fp holds the 64 bits as a signed long."""
+def fingerprints(docs: DataFrame, shingle: int = SHINGLE, hashed: bool = False) -> DataFrame:
+    """(doc_id, fp) of every row; fp holds the 64 bits as a signed long. hashed: with text_hash, Spark's hash of the text."""
+    docs = docs.select("doc_id", "text", *([F.xxhash64("text").alias("text_hash")] if hashed else []))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             found = np.fromiter((fingerprint(t, shingle) for t in utf8(batch.column(1))), np.uint64, batch.num_rows)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found.view(np.int64))], names=["doc_id", "fp"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found.view(np.int64)), *batch.columns[2:]], names=["doc_id", "fp", *batch.schema.names[2:]])
 
-    return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, fp long")
+    return docs.mapInArrow(run, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, fp long" + (", text_hash long" if hashed else ""))
 
 
 # -- vantage-point trees ------------------------------------------------------------------------------------------------------
 
 
-def build_tree(halves: np.ndarray, leaf: int, seed: int) -> tuple:
-    """A tree over 32-bit halves: (vantage, cutoff, inside, outside), or None for a leaf. Deterministic."""
-    if len(halves) <= leaf:
+def part_of(fps: np.ndarray, shift: int, bits: int) -> np.ndarray:
+    """`bits` bits of each fingerprint, from bit `shift` on."""
+    return (fps >> np.uint64(shift)) & np.uint64((1 << bits) - 1)
+
+
+def build_tree(fps: np.ndarray, leaf: int, radius: int, shift: int, bits: int, seed: int = 1) -> tuple | None:
+    """A tree over a part of distinct fingerprints: None for a leaf, ("cut", part, vantage, cutoff, reach, inside, outside), or ("all", trees) to search.
+
+    radius: how many bits of the part may differ. Deterministic.
+    """
+    n = len(fps)
+    if n <= leaf:
         return None
+    own = part_of(fps, shift, bits)
     rng = np.random.default_rng(seed)
     best = None
-    for vantage in halves[rng.integers(0, len(halves), 8)]:
-        distance = np.bitwise_count(halves ^ vantage)
-        counts = np.bincount(distance, minlength=34)
-        upto = np.cumsum(counts)
-        # Inside are d <= c + 1, outside are d > c. The split with the least rows to compare, both sides smaller than all.
-        inside, outside = np.minimum(upto[1:], len(halves)), len(halves) - upto[:-1]
-        work = np.where((inside < len(halves)) & (outside < len(halves)), inside.astype(float) ** 1.5 + outside.astype(float) ** 1.5, np.inf)
+    for vantage in own[rng.integers(0, n, 8)]:
+        distance = np.bitwise_count(own ^ vantage)
+        upto = np.cumsum(np.bincount(distance, minlength=bits + radius + 2))
+        # Inside are d <= c + radius, outside are d > c. The split with the least rows to compare, if it spares any.
+        inside, outside = upto[radius : radius + bits + 1].astype(float), n - upto[: bits + 1].astype(float)
+        work = np.where(inside**2 + outside**2 < 0.95 * n**2, inside**1.5 + outside**1.5, np.inf)
         c = int(work.argmin())
         if np.isfinite(work[c]) and (best is None or work[c] < best[0]):
             best = (work[c], vantage, c, distance)
-    if best is None:
-        return None
-    _, vantage, c, distance = best
-    return (vantage, c, build_tree(halves[distance <= c + 1], leaf, seed * 2 + 1), build_tree(halves[distance > c], leaf, seed * 2 + 2))
+    if best is not None:
+        _, vantage, c, distance = best
+        sides = [build_tree(fps[distance <= c + radius], leaf, radius, shift, bits, seed * 2 + 1), build_tree(fps[distance > c], leaf, radius, shift, bits, seed * 2 + 2)]
+        return ("cut", (shift, bits), vantage, c, radius, *sides)
+    if bits == 32:
+        return ("all", [build_tree(fps, leaf, (2 * radius + 1) // 4, (32 - shift) + 8 * k, 8, seed + k) for k in range(4)])
+    return None
 
 
-def route(tree: tuple | None, halves: np.ndarray, rows: np.ndarray, name: list[int], out: list[tuple[int, np.ndarray]]) -> None:
+def build_trees(fps: np.ndarray, leaf: int, radius: int) -> tuple:
+    """A tree for each half, both to be searched."""
+    return ("all", [build_tree(fps, leaf, radius // 2, shift, 32) for shift in (32, 0)])
+
+
+def route(tree: tuple | None, fps: np.ndarray, rows: np.ndarray, name: list[int], out: list[tuple[int, np.ndarray]]) -> None:
     """Append (leaf number, rows) for each leaf that rows reach; name[0] counts the leaves, so numbers are the same everywhere."""
     if tree is None:
         out.append((name[0], rows))
         name[0] += 1
-        return
-    vantage, c, inside, outside = tree
-    distance = np.bitwise_count(halves[rows] ^ vantage)
-    route(inside, halves, rows[distance <= c + 1], name, out)
-    route(outside, halves, rows[distance > c], name, out)
-
-
-def halves_of(fps: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    return (fps >> np.uint64(32)).astype(np.uint32), fps.astype(np.uint32)
+    elif tree[0] == "all":
+        for one in tree[1]:
+            route(one, fps, rows, name, out)
+    else:
+        _, part, vantage, c, radius, inside, outside = tree
+        distance = np.bitwise_count(part_of(fps[rows], *part) ^ vantage)
+        route(inside, fps, rows[distance <= c + radius], name, out)
+        route(outside, fps, rows[distance > c], name, out)
 
 
 def forest(fps: np.ndarray, radius: int = RADIUS) -> list[tuple[np.ndarray, int]]:
@@ -134,11 +153,10 @@ def forest(fps: np.ndarray, radius: int = RADIUS) -> list[tuple[np.ndarray, int]
     return found
 
 
-def shard_links(fps: np.ndarray, half: int, leaf: int, radius: int) -> tuple[np.ndarray, np.ndarray]:
-    """Links (fingerprint, least of its group) inside a shard; a large shard is split by a tree of its own first."""
+def shard_links(fps: np.ndarray, leaf: int, radius: int) -> tuple[np.ndarray, np.ndarray]:
+    """Links (fingerprint, least of its group) inside a shard; a large shard is split by trees of its own first."""
     parts: list[tuple[int, np.ndarray]] = []
-    own = halves_of(fps)[half]
-    route(build_tree(own, 2 * leaf, 1), own, np.arange(len(fps)), [0], parts)
+    route(build_trees(fps, leaf, radius) if len(fps) > 2 * leaf else None, fps, np.arange(len(fps)), [0], parts)
     a, b = [], []
     for _, rows in parts:
         for members, least in forest(fps[rows], radius):
@@ -157,19 +175,18 @@ def links(distinct: DataFrame, radius: int = RADIUS, sample: int = SAMPLE, leaf:
     rows = distinct if n <= sample else distinct.filter(F.pmod(F.xxhash64("fp"), F.lit(1 << 30)) < int((1 << 30) * sample / n)).limit(2 * sample)
     taken = np.sort(np.array(rows.toPandas()["fp"], np.int64)).view(np.uint64)
     leaf_rows = max(16, int(leaf * min(1.0, len(taken) / max(n, 1))))
-    trees = spark.sparkContext.broadcast([build_tree(h, leaf_rows, 1) for h in halves_of(taken)])
+    trees = spark.sparkContext.broadcast(build_trees(taken, leaf_rows, radius))
 
     def shards(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             fps = np.asarray(batch.column(0)).view(np.uint64)
-            for half, (tree, own) in enumerate(zip(trees.value, halves_of(fps))):
-                parts: list[tuple[int, np.ndarray]] = []
-                route(tree, own, np.arange(len(fps)), [0], parts)
-                shard = np.concatenate([np.full(len(r), 2 * k + half, np.int64) for k, r in parts])
-                yield pa.RecordBatch.from_arrays([pa.array(shard), pa.array(fps[np.concatenate([r for _, r in parts])].view(np.int64))], names=["shard", "fp"])
-
-    def search(shard: tuple, rows: pd.DataFrame) -> pd.DataFrame:
-        u, v = shard_links(rows["fp"].to_numpy().view(np.uint64), int(shard[0]) % 2, leaf, radius)
+            parts: list[tuple[int, np.ndarray]] = []
+            route(trees.value, fps, np.arange(len(fps)), [0], parts)
+            shard = np.concatenate([np.full(len(r), k, np.int64) for k, r in parts])
+            yield pa.RecordBatch.from_arrays([pa.array(shard), pa.array(fps[np.concatenate([r for _, r in parts])].view(np.int64))], names=["shard", "fp"])
+
+    def search(rows: pd.DataFrame) -> pd.DataFrame:
+        u, v = shard_links(rows["fp"].to_numpy().view(np.uint64), leaf, radius)
         return pd.DataFrame({"u": u.view(np.int64), "v": v.view(np.int64)})
 
     return distinct.mapInArrow(shards, "shard long, fp long").groupBy("shard").applyInPandas(search, "u long, v long")
@@ -181,45 +198,38 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIU
 
 
 def _components(fps: DataFrame, radius: int) -> DataFrame:
-    """`fps` (doc_id, fp) with root, the least fingerprint of the component, and component_id."""
+    """`fps` (doc_id, fp and others) with root, the least fingerprint of the component, and component_id."""
     distinct = fps.groupBy("fp").agg(F.min("doc_id").alias("first"))
     members = connected_components(links(distinct.select("fp"), radius))
     roots = distinct.join(members.select(F.col("node").alias("fp"), "root"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
     least = roots.groupBy("root").agg(F.min("first").alias("component_id"))
     classes = roots.select("fp", "root").join(least, "root").select(F.col("fp").alias("_fp"), "root", "component_id")
-    return fps.join(classes, F.col("fp") == F.col("_fp")).select("doc_id", "fp", "root", "component_id")
+    return fps.join(classes, F.col("fp") == F.col("_fp")).drop("_fp")
 
 
 def drop_near_duplicates(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIUS) -> DataFrame:
-    """One row of each component, of the least doc_id and then the least fingerprint; columns of `docs`. Of repeated rows of that, one stays.
+    """One row of each component, the one of the least doc_id (null last), fingerprint and text hash; columns of `docs`.
 
-    A component of which every doc_id is null keeps all its rows. Rows whose doc_id is null or has several rows are told apart by
-    fingerprint, which is made again for those rows only; all others by doc_id.
+    Rows are told apart by doc_id and text hash. Rows that agree in both have equal texts, and one of them stays.
     """
-    fps = stash(fingerprints(docs, shingle), "fingerprints")
-    found = _components(fps, radius)
-    first = found.filter("doc_id = component_id").groupBy("root").agg(F.min("doc_id").alias("_keep"), F.min("fp").alias("_fp"))
-    rows = fps.filter("doc_id IS NOT NULL").groupBy(F.col("doc_id").alias("_d")).agg((F.count("*") > 1).alias("_many"))
-    keep = stash(first.join(rows, F.col("_keep") == F.col("_d")).select("_keep", "_fp", "_many"), "kept")
-    packed = docs.select(F.col("doc_id").alias("_id"), F.struct(*docs.columns).alias("_row"))
-
-    def printed(some: DataFrame) -> DataFrame:
-        run = lambda texts: [pa.array(np.array([fingerprint(t, shingle) for t in texts], np.uint64).view(np.int64))]
-        return annotate(some.select("_id", "_row", F.col("_row.text").alias("text")), run, T.StructType([T.StructField("_print", T.LongType())])).drop("text")
-
-    # Merge joins at every size: the kept ids grow with the corpus, and are broadcast only where they happen to be few.
-    kept = packed.join(keep.filter("NOT _many").hint("merge"), F.col("_id") == F.col("_keep")).select("_row.*")
-    many = keep.filter("_many").select("_keep", "_fp")
-    if not many.isEmpty():
-        ids = many.select("_keep").distinct()
-        own = printed(packed.join(ids.hint("merge"), F.col("_id") == F.col("_keep"), "left_semi"))
-        same = own.join(many.hint("merge"), (F.col("_id") == F.col("_keep")) & (F.col("_print") == F.col("_fp")))
-        kept = kept.unionByName(same.dropDuplicates(["_id", "_print"]).select("_row.*"))
-    if not fps.filter("doc_id IS NULL").isEmpty():
-        loose = stash(found.filter("doc_id IS NULL AND component_id IS NULL").select("fp").distinct(), "loose")
-        own = printed(packed.filter("_id IS NULL"))
-        kept = kept.unionByName(own.join(loose, F.col("_print") == F.col("fp"), "left_semi").select("_row.*"))
-    return kept
+    fps = stash(fingerprints(docs, shingle, True), "fingerprints")
+    # Rows of a doc_id and text, first counted where they are: a repeated row is one row from here on.
+    rows = stash(fps.groupBy("doc_id", "text_hash", "fp").agg(F.count("*").alias("n")), "rows")
+    discard(fps)
+    order = F.struct(F.col("doc_id").isNull().alias("unknown"), "doc_id", "fp", "text_hash")
+    chosen = _components(rows, radius).groupBy("root").agg(F.min_by(F.struct("doc_id", "text_hash", "n"), order).alias("first"))
+    keep = stash(chosen.select(F.col("first.doc_id").alias("_keep"), F.col("first.text_hash").alias("_keep_hash"), F.col("first.n").alias("_n")), "kept")
+    discard(rows)
+    packed = docs.select(F.col("doc_id").alias("_id"), F.xxhash64("text").alias("_hash"), F.struct(*docs.columns).alias("_row"))
+
+    def joined(wanted: DataFrame) -> DataFrame:
+        # Merge joins at every size: the kept ids grow with the corpus, and are broadcast only where they happen to be few.
+        return packed.join(wanted.hint("merge"), F.col("_id").eqNullSafe(F.col("_keep")) & (F.col("_hash") == F.col("_keep_hash")))
+
+    if keep.filter("_n > 1").isEmpty():
+        return joined(keep).select("_row.*")
+    once = joined(keep.filter("_n = 1")).select("_row.*")
+    return once.unionByName(joined(keep.filter("_n > 1")).dropDuplicates(["_id", "_hash"]).select("_row.*"))
 
 
 def query(spark, sf_dir: str) -> DataFrame:

@@ -1,6 +1,7 @@
 import random
 
 import numpy as np
+import pytest
 import xxhash
 
 from pairloom.llm import simhash as S
@@ -43,25 +44,41 @@ def test_against_brute_force(docs, plain):
     assert got == expected
 
 
-def test_trees_lose_no_link():
-    rng = random.Random(3)
-    fps = [rng.getrandbits(64) for _ in range(800)]
-    for _ in range(700):  # neighbours by 1 to 3 bits, dense groups among them
+def near_fingerprints(rng, radius):
+    fps = [rng.getrandbits(64) for _ in range(700)]
+    for _ in range(600):  # neighbours, dense groups among them
         f = rng.choice(fps[-200:] if rng.random() < 0.5 else fps)
-        fps.append(f ^ sum(1 << b for b in rng.sample(range(64), rng.randint(1, 3))))
-    fps = np.unique(np.array(fps, np.uint64))
-    pairs = {(int(a), int(b)) for i, a in enumerate(fps) for b in fps[i + 1 :][np.bitwise_count(fps[i + 1 :] ^ a) <= 3]}
+        fps.append(f ^ sum(1 << b for b in rng.sample(range(64), rng.randint(1, radius))))
+    shared = rng.getrandbits(32)  # and many that share a half, or nearly
+    for _ in range(400):
+        f = shared | rng.getrandbits(32) << 32
+        fps += [f, f ^ sum(1 << b for b in rng.sample(range(64), rng.randint(1, radius)))]
+    return np.unique(np.array(fps, np.uint64))
+
+
+def pairs_of(fps, radius):
+    return {(int(a), int(b)) for i, a in enumerate(fps) for b in fps[i + 1 :][np.bitwise_count(fps[i + 1 :] ^ a) <= radius]}
+
+
+@pytest.mark.parametrize("radius", [1, 2, 3, 4, 5, 6])
+def test_trees_lose_no_link(spark, radius):
+    fps = near_fingerprints(random.Random(radius), radius)
+    pairs = pairs_of(fps, radius)
+    parts = []
+    S.route(S.build_trees(fps[::3], 16, radius), fps, np.arange(len(fps)), [0], parts)
     met = set()
-    for half, own in enumerate(S.halves_of(fps)):
-        parts = []
-        S.route(S.build_tree(own[::3], 16, 1), own, np.arange(len(fps)), [0], parts)
-        assert len(parts) > 5
-        for _, rows in parts:
-            members = set(fps[rows].tolist())
-            met |= {p for p in pairs if p[0] in members and p[1] in members}
-        u, v = S.shard_links(fps, half, 16, 3)
-        assert len(u) < len(fps)  # a forest, not all pairs
-    assert met == pairs
+    for _, rows in parts:
+        members = set(fps[rows].tolist())
+        met |= {p for p in pairs if p[0] in members and p[1] in members}
+    assert met == pairs and len(parts) > 20 and max(len(r) for _, r in parts) < len(fps) / 2
+    root = components(fps.tolist(), lambda a, b: (a, b) in pairs)
+    u, v = S.shard_links(fps, 16, radius)
+    assert len(u) < 8 * len(fps)  # forests, not all pairs
+    df = spark.createDataFrame([(x,) for x in fps.view(np.int64).tolist()], "fp long")
+    found = {r.node % (1 << 64): r.root % (1 << 64) for r in connected_components(S.links(df, radius, 500, 32)).collect()}
+    least = lambda f: min((g for g in root if root[g] == root[f]), key=lambda x: x if x < 1 << 63 else x - (1 << 64))
+    alone = {f for f in root if sum(r == root[f] for r in root.values()) == 1}
+    assert found == {f: least(f) for f in root if f not in alone}
 
 
 def test_links_at_three_bits_and_not_at_four(spark):
@@ -86,9 +103,36 @@ def test_one_document_of_each_group_stays(docs, none, plain):
     assert S.drop_near_duplicates(none).isEmpty() and S.near_duplicates(none).isEmpty()
 
 
-def test_rows_of_one_doc_id_are_kept_by_component(spark):
+def kept_slowly(rows):
+    """One row of each component: least doc_id (null last), fingerprint as a signed number, text hash; here texts of an id and fingerprint are equal."""
+    prints = {t: slow_fingerprint(t) for _, t in rows}
+    root = components(set(prints.values()), lambda a, b: (a ^ b).bit_count() <= 3)
+    best = {}
+    for i, t in rows:
+        f = prints[t]
+        key = (i is None, i or 0, f if f < 1 << 63 else f - (1 << 64))
+        best[root[f]] = min(best.get(root[f], (key, t)), (key, t), key=lambda x: x[0])
+    return sorted((k[1] if not k[0] else 0, t) for k, t in best.values())
+
+
+def test_rows_are_kept_by_component(spark):
     text = lambda k: " ".join(f"w{k}x{i * i % 97}" for i in range(60))
-    rows = [(1, text(1)), (5, text(2)), (5, text(3)), (5, text(1)), (5, text(3)), (7, text(2)), (None, text(1)), (None, text(4))]
-    kept = S.drop_near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()
-    expected = [(1, text(1)), (5, text(2)), (5, text(3)), (None, text(4))]
-    assert sorted((r.doc_id or 0, r.text) for r in kept) == sorted((i or 0, t) for i, t in expected)
+    a, b, c, d = map(text, (1, 2, 3, 4))
+    tables = [
+        [(1, a), (5, b), (5, c), (5, a), (5, c), (7, b), (None, a), (None, d)],
+        [(5, a), (5, b)],  # unlike texts of one id
+        [(2, b), (5, a), (5, b)],
+        [(1, a), (None, a), (None, c)],
+        [(None, a), (None, a), (None, b)],
+        [(3, a)] * 4 + [(3, b), (9, b), (None, None), (4, ""), (4, " ")],
+    ]
+    for rows in tables:
+        kept = S.drop_near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+        found, expected = sorted((r.doc_id or 0, r.text or "") for r in kept), [(i, t or "") for i, t in kept_slowly(rows)]
+        assert [(i, t.strip()) for i, t in found] == [(i, t.strip()) for i, t in expected]
+
+
+def test_kept_rows_against_brute_force(docs, plain):
+    rows = [(i, t) for i, t, _, _ in plain]
+    kept = sorted((r.doc_id or 0, slow_fingerprint(r.text)) for r in S.drop_near_duplicates(docs).collect())
+    assert kept == sorted((i, slow_fingerprint(t)) for i, t in kept_slowly(rows))
