@@ -32,16 +32,41 @@ def test_binomial_tail():
     assert Q.binomial_tail(10, 10, 0.3) == pytest.approx(1.0)
 
 
-def test_risk_is_controlled():
-    """Over many draws, a cutoff with a true false-rejection rate above the risk is hardly ever used."""
-    broken = 0
+def exact_bound(k, n, delta):
+    """Upper Clopper-Pearson bound by bisection over the binomial sum."""
+    low, high = 0.0, 1.0
+    for _ in range(60):
+        p = (low + high) / 2
+        low, high = (p, high) if sum(math.comb(n, i) * p**i * (1 - p) ** (n - i) for i in range(k + 1)) > delta else (low, p)
+    return high
+
+
+def test_certificates_by_brute_force():
+    rng = np.random.default_rng(1)
+    for _ in range(20):
+        counts = {s: [(min(int(k), int(n)), int(n)) for k in np.sort(rng.integers(0, 12, 5))] for s, n in enumerate(rng.integers(0, 500, 3))}
+        expected = {}
+        for s, levels in counts.items():
+            ok = [bool(n) and exact_bound(k, n, 0.05 / 3) <= 0.03 for k, n in levels]
+            if ok[0]:
+                expected[s] = (ok + [False]).index(False) - 1
+        assert Q.certify(counts, 0.03, 0.05) == expected
+
+
+def test_joint_risk_is_controlled():
+    """Over many draws, the rules of a stratum together hardly ever reject more than the risk."""
+    broken, used = 0, 0
     for seed in range(60):
         rng = np.random.default_rng(seed)
-        n = 3000
-        good, value = np.ones(n, bool), rng.random(n)
-        cutoffs = Q.choose_cutoffs({"r": value}, np.zeros(n, int), good, np.arange(n) % 2 == 1, risk=0.05)
-        broken += any(1 - c > 0.05 for c in cutoffs.values())
-    assert broken <= 60 * Q.DELTA + 3
+        n = 4000
+        strata, good = rng.integers(0, 2, n), rng.random(n) < 0.8
+        values = {f"r{k}": rng.random(n) for k in range(4)}
+        cutoffs = Q.choose_cutoffs(values, strata, good, np.arange(n) % 2 == 1, risk=0.05)
+        # independent uniform values: the true joint rate is known
+        rates = [1 - math.prod(cutoffs.get((r, s), 1.0) for r in values) for s in (0, 1) if any(s == t for _, t in cutoffs)]
+        used += len(rates)
+        broken += any(x > 0.05 for x in rates)
+    assert broken <= 60 * Q.DELTA + 3 and used > 100
 
 
 def test_edge_rows(spark, docs, none, plain):
@@ -77,7 +102,7 @@ def test_quantiles_are_exact(spark):
     rng = np.random.default_rng(2)
     groups = {("a", 0): rng.random(700), ("a", 1): np.round(rng.random(90), 1), ("b", 0): -np.exp(40 * rng.random(400)), ("b", 3): np.array([2.5])}
     found = spark.createDataFrame([(r, s, float(x)) for (r, s), v in groups.items() for x in v], "rule string, s int, value double")
-    expected = sorted({(r, s, float(x)) for (r, s), v in groups.items() for x in np.quantile(v, Q.PROPOSALS, method="higher")})
+    expected = {g: np.quantile(v, Q.LEVELS, method="higher").tolist() for g, v in groups.items()}
     assert Q.quantiles(found, bins=4) == Q.quantiles(found) == expected
 
 
