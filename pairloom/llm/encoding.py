@@ -3,7 +3,8 @@
 The byte-level pre-tokenizer never joins a white-space run to the text before it. So a text may be cut before each run of
 white space that follows other characters; what lies between two cuts (a unit: white space, then what follows it) is encoded by the
 library once and kept. Units of a text are found by bytes.split(). Texts with white space outside ASCII, or with a string
-that the tokenizer treats as a special token, go through the library as a whole.
+that the tokenizer treats as a special token, go through the library as a whole. Units above LONGEST bytes (text without blanks) are
+encoded but not kept, and what is kept takes MOST_BYTES at most.
 """
 
 from __future__ import annotations
@@ -15,7 +16,10 @@ import re
 
 import numpy as np
 
-MOST_UNITS = 1_000_000
+#: Bytes of the cache, as Python counts objects, and of a unit that is kept.
+MOST_BYTES = 192 << 20
+LONGEST = 48
+_OVERHEAD = 2 * 33 + 104  # two bytes objects and their place in a dictionary that is half full
 _PUNCTUATION = b"!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
 _UNIT = re.compile(rb"[ \t\n\r\x0b\x0c]*[^ \t\n\r\x0b\x0c]+|[ \t\n\r\x0b\x0c]+")
 #: White space outside ASCII begins with these bytes (U+0085, U+00A0, U+1680, U+2000.., U+205F, U+3000); fixed values.
@@ -38,6 +42,7 @@ class Encoder:
         self.dtype = np.dtype("<u2" if self.width == 2 else "<u4")
         self.code = "H" if self.width == 2 else "I"  # of array.array, on little-endian machines
         self.units: dict[bytes, bytes] = {b"": b""}
+        self.size = 0
 
     def whole(self, text: bytes) -> bytes:
         return np.array(self.tokenizer.encode(text.decode(), add_special_tokens=False).ids, self.dtype).tobytes()
@@ -55,16 +60,22 @@ class Encoder:
         missing = [p for p in {p for pair in parts.values() for p in pair if p} if p not in self.units]
         encoded = self.tokenizer.encode_batch_fast([p.decode() for p in missing], add_special_tokens=False)
         ids = {p: array.array(self.code, e.ids).tobytes() for p, e in zip(missing, encoded)}
-        if len(self.units) < MOST_UNITS:
-            self.units.update(ids)
         get = self.units.get
-        ids |= {u: (ids.get(a) or get(a)) + (b and (ids.get(b) or get(b))) for u, (a, b) in parts.items()}
-        if len(self.units) < MOST_UNITS:
-            self.units.update((u, ids[u]) for u, (_, b) in parts.items() if b)
+        joined = {u: (ids.get(a) or get(a)) + (b and (ids.get(b) or get(b))) for u, (a, b) in parts.items()}
+        self.keep(ids)
+        self.keep({u: joined[u] for u, (_, b) in parts.items() if b})
+        ids = joined
         for i, x in enumerate(found):
             if x is None:
                 found[i] = ids[units[i]]
 
+    def keep(self, units: dict[bytes, bytes]) -> None:
+        """Remember units while there is room."""
+        for unit, ids in units.items():
+            if len(unit) <= LONGEST and self.size < MOST_BYTES and unit not in self.units:
+                self.units[unit] = ids
+                self.size += len(unit) + len(ids) + _OVERHEAD
+
     def __call__(self, text: bytes | None) -> bytes:
         if not text:
             return b""

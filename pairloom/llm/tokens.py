@@ -8,7 +8,8 @@ A file holds blocks; a block holds whole documents, in ascending order of doc_id
 
 Elias-Fano keeps n ascending numbers below u in about n * (2 + log2(u / n)) bits: the low bits of each, packed, and the high parts
 in unary in one bit vector. The end of document i is select1(i) - i for its high part; the position of every 256th one bit is kept,
-and from there the search counts the ones of a few bytes. There is no table of 64-bit offsets.
+and from there the search counts the ones of a few bytes. There is no table of 64-bit offsets: whatever reads a document asks the
+select structure for its two bounds.
 
 Scale. Documents are dealt by ranges of doc_id (one shuffle) and sorted inside tasks; a task streams its documents and closes a block
 at BLOCK_IDS ids, so memory is bounded by a block and the longest document. Files are Parquet tables that hold a block a row,
@@ -83,15 +84,15 @@ class EliasFano:
         return int.from_bytes(self.low[first // 8 : (last + 7) // 8], "little") >> first % 8 & (1 << self.low_bits) - 1
 
     def select(self, i: int) -> int:
-        """The i-th number, by way of the nearest sampled one bit before it."""
+        """The i-th number, by way of the nearest sampled one bit before it, eight bytes at a time."""
         at = int(self.samples[i // _STEP])
         left = i % _STEP
         byte = at // 8
-        value = self.high[byte] >> at % 8 << at % 8
-        while value.bit_count() <= left:
-            left -= value.bit_count()
-            byte += 1
-            value = self.high[byte]
+        value = int.from_bytes(self.high[byte : byte + 8], "little") >> at % 8 << at % 8
+        while (ones := value.bit_count()) <= left:
+            left -= ones
+            byte += 8
+            value = int.from_bytes(self.high[byte : byte + 8], "little")
         for _ in range(left):
             value &= value - 1
         return (8 * byte + (value & -value).bit_length() - 1 - i << self.low_bits) | self._low(i)
@@ -120,9 +121,14 @@ class Block:
     def doc_ids(self) -> list[int | None]:
         return [None] * self.n_null + [self.least + int(x) for x in self.keys.decode()]
 
+    def span(self, i: int) -> tuple[int, int]:
+        """Where the ids of document i begin and end: two select operations, no scan."""
+        return self.bounds.select(i - 1) if i else 0, self.bounds.select(i)
+
     def document(self, i: int) -> np.ndarray:
-        """The ids of document i: two select operations, no scan."""
-        return self.ids[self.bounds.select(i - 1) if i else 0 : self.bounds.select(i)]
+        """The ids of document i."""
+        begin, end = self.span(i)
+        return self.ids[begin:end]
 
 
 def write_block(doc_ids: list[int | None], encoded: list[bytes], width: int) -> bytes:
@@ -169,21 +175,19 @@ def encode_documents(docs: DataFrame, path: str, end_id: int = END_ID, special:
 
 
 def read_documents(blocks: DataFrame) -> DataFrame:
-    """(doc_id, start, n_tokens, ids_crc32) of each document, all from the blocks."""
+    """(doc_id, start, n_tokens, ids_crc32) of each document, all from the blocks; bounds come from the select structure."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for shard, number, content in zip(*(batch.column(k).to_pylist() for k in range(3))):
                 block = Block(content)
-                ends = block.bounds.decode().astype(np.int64)
-                starts = np.concatenate(([0], ends[:-1]))
-                ids = block.ids.astype("<u4").tobytes()
-                crc = [zlib.crc32(ids[4 * a : 4 * b]) for a, b in zip(starts.tolist(), ends.tolist())]
                 n = block.n_docs
-                arrays = [pa.array(np.full(n, shard, np.int32)), pa.array(np.full(n, number, np.int32)), pa.array(block.doc_ids(), pa.int64()), pa.array(starts), pa.array(ends - starts), pa.array(crc, pa.int64())]
+                spans = np.array([block.span(i) for i in range(n)], np.int64).reshape(n, 2)
+                crc = [zlib.crc32(block.ids[a:b].astype("<u4").tobytes()) for a, b in spans.tolist()]
+                starts = spans[:, 0].copy()
+                arrays = [pa.array(np.full(n, shard, np.int32)), pa.array(np.full(n, number, np.int32)), pa.array(block.doc_ids(), pa.int64()), pa.array(starts), pa.array(spans[:, 1] - starts), pa.array(crc, pa.int64())]
                 yield pa.RecordBatch.from_arrays(arrays, names=["shard", "block", "doc_id", "_start", "n_tokens", "ids_crc32"])
 
-    blocks.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "4")
     found = blocks.select("shard", "block", "content").mapInArrow(run, "shard int, block int, doc_id long, _start long, n_tokens long, ids_crc32 long")
     before = Window.orderBy("shard", "block").rowsBetween(Window.unboundedPreceding, -1)
     base = blocks.select("shard", "block", F.coalesce(F.sum("n_ids").over(before), F.lit(0)).alias("_base"))

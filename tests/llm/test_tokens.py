@@ -3,10 +3,10 @@ import zlib
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from pairloom.llm import token_counts, tokens
-from pairloom.llm.common import stash
 from pairloom.llm.encoding import Encoder
 
 PATH = tokens.tokenizer_path()
@@ -64,9 +64,11 @@ def test_counts(docs, plain, reference, block_ids):
     small = docs.filter("doc_id IS NULL OR doc_id NOT IN (140, 141)")
     expected = sorted((-1 if r[0] is None else r[0], len(reference.encode(r[1] or "", add_special_tokens=False).ids)) for r in plain if r[0] not in (140, 141))
     reference.encode_special_tokens = False
-    blocks = stash(token_counts.write_flat(small, PATH, block_ids=block_ids), "test")
-    names = blocks.selectExpr("shard", "block", "posexplode(doc_ids) AS (place, doc_id)")
-    found = token_counts.scan_counts(blocks).join(names, ["shard", "block", "place"]).collect()
+    blocks, names = token_counts.write_flat(small, PATH, block_ids=block_ids)
+    assert blocks.columns == ["shard", "block", "content"]
+    files = lambda df: {r[0] for r in df.select(F.input_file_name()).collect()}
+    assert all("kind=tokens" in f for f in files(blocks)) and all("kind=names" in f for f in files(names))
+    found = token_counts.scan_counts(blocks).join(names, ["shard", "number"]).collect()
     assert sorted((-1 if r.doc_id is None else r.doc_id, r.n_tokens) for r in found) == expected
 
 
@@ -76,3 +78,33 @@ def test_unterminated_and_empty(spark, none):
     found = sorted((r.shard, r.start, r.n_tokens, r.terminated) for r in token_counts.scan_counts(blocks).collect())
     assert found == [(0, 0, 2, True), (0, 3, 3, False), (1, 0, 1, False)]
     assert token_counts.count_tokens(none, PATH).isEmpty()
+
+
+def test_wide_ids(spark):
+    flat = lambda ids: bytearray(np.array(ids, "<u4").tobytes())
+    blocks = spark.createDataFrame([(0, 0, flat([70_000, 9])), (0, 1, flat([9, 70_000, 3]))], "shard int, block int, content binary")
+    found = sorted((r.number if r.terminated else 9, r.start, r.n_tokens) for r in token_counts.scan_counts(blocks, 9, 4).collect())
+    assert found == [(0, 0, 1), (1, 2, 0), (9, 3, 2)]
+
+
+def test_cache_is_bounded_in_bytes(monkeypatch, reference):
+    from pairloom.llm import encoding
+
+    monkeypatch.setattr(encoding, "MOST_BYTES", 20_000)
+    encode, rng = Encoder(PATH), random.Random(3)
+    for k in range(300):
+        text = " ".join("".join(rng.choices("abcdefgh", k=rng.randint(1, 9))) for _ in range(20)) + " " + "日本" * 500 + str(k)
+        assert np.frombuffer(encode(text.encode()), encode.dtype).tolist() == reference.encode(text, add_special_tokens=False).ids
+    assert encode.size < 20_000 + encoding.LONGEST * 4 + 200
+    assert max(map(len, encode.units)) <= encoding.LONGEST
+
+
+def test_the_query_reads_by_select(docs, monkeypatch):
+    """No bound is decoded as a table on the way of the result."""
+    row = max(tokens.encode_documents(docs, PATH).collect(), key=lambda r: r.n_docs)
+    block = tokens.Block(bytes(row.content))
+    ends = block.bounds.decode().tolist()
+    assert [block.span(i) for i in range(block.n_docs)] == list(zip([0, *ends[:-1]], ends))
+    import inspect
+
+    assert "bounds.decode" not in inspect.getsource(tokens.read_documents) and "block.span" in inspect.getsource(tokens.read_documents)
