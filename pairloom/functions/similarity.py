@@ -1,7 +1,11 @@
 """String comparators as Arrow functions over two aligned columns, and the registry that features are made from.
 
 Scale 0 to 100 but for jaro_winkler (0 to 1). Two empty strings are equal (100) for ratio, partial and sorted words; word sets and the
-weighted blend are 0 if either string has no word. Null in, null out. Equal strings are not compared.
+weighted blend are 0 if either string has no word. Null in, null out. Equal strings are not compared, nor is a pair a second
+time that a batch repeats.
+
+A batch is compared as a whole (pairloom.functions.lcs): all pairs whose shorter string fits a machine word go through bit-parallel steps as columns
+of words. The functions of single pairs here do the longer ones, and state what a batch must give.
 """
 
 from __future__ import annotations
@@ -9,10 +13,13 @@ from __future__ import annotations
 from collections import deque
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from pairloom.functions import lcs
+
 
 def _places(a: str) -> dict[str, int]:
     """The places of each character of a, as bits."""
@@ -148,31 +155,122 @@ def jaro_winkler(a: str, b: str) -> float:
     return jaro + 0.1 * prefix * (1 - jaro) if jaro > 0.7 else jaro
 
 
-def comparator(function: Callable[[str, str], float]) -> Callable[[Column, Column], Column]:
-    """An Arrow function of two string columns; a pair that a batch repeats is compared once."""
+# -- batches ---------------------------------------------------------------------------------------------------------------------------
+
+Pairs = tuple[list[str], list[str]]
+
+
+def _where(todo: np.ndarray, value: np.ndarray, compare: Callable[[list[str], list[str]], np.ndarray], a: list[str], b: list[str]) -> np.ndarray:
+    """`value` with what `compare` gives where `todo` holds."""
+    rows = np.flatnonzero(todo)
+    if len(rows):
+        value[rows] = compare([a[i] for i in rows], [b[i] for i in rows])
+    return value
+
+
+def _equal(a: list[str], b: list[str]) -> np.ndarray:
+    return np.fromiter((x == y for x, y in zip(a, b)), bool, len(a))
+
+
+def ratio_many(a: list[str], b: list[str]) -> np.ndarray:
+    def compare(x: list[str], y: list[str]) -> np.ndarray:
+        sizes = np.fromiter(map(len, x), np.int64, len(x)) + np.fromiter(map(len, y), np.int64, len(y))
+        return 200.0 * lcs.lengths(x, y, lcs_length) / np.maximum(sizes, 1)
+
+    return _where(~_equal(a, b), np.full(len(a), 100.0), compare, a, b)
+
+
+def partial_many(a: list[str], b: list[str]) -> np.ndarray:
+    def compare(x: list[str], y: list[str]) -> np.ndarray:
+        swap = [len(p) > len(q) for p, q in zip(x, y)]
+        short, long = [q if s else p for s, p, q in zip(swap, x, y)], [p if s else q for s, p, q in zip(swap, x, y)]
+        found = lcs.best_windows(short, long, _windows)
+        even = np.fromiter((len(p) == len(q) for p, q in zip(x, y)), bool, len(x))
+        return np.maximum(found, _where(even, np.zeros(len(x)), lambda p, q: lcs.best_windows(p, q, _windows), long, short))
+
+    same = _equal(a, b)
+    some = np.fromiter((bool(x and y) for x, y in zip(a, b)), bool, len(a))
+    return _where(~same & some, np.where(same, 100.0, 0.0), compare, a, b)
+
+
+def token_sort_many(a: list[str], b: list[str]) -> np.ndarray:
+    return ratio_many(list(map(_sorted, a)), list(map(_sorted, b)))
+
+
+def token_set_many(a: list[str], b: list[str]) -> np.ndarray:
+    value = np.zeros(len(a))
+    parts = [_sets(x, y) if x.split() and y.split() else None for x, y in zip(a, b)]
+    for i, part in enumerate(parts):
+        if part and part[0] and not (part[1] and part[2]):
+            value[i] = 100.0
+    rows = [i for i, part in enumerate(parts) if part and value[i] == 0.0]
+    if rows:
+        both = [parts[i][0] for i in rows]
+        x, y = ([f"{parts[i][0]} {parts[i][k]}".strip() for i in rows] for k in (1, 2))
+        found = ratio_many(x, y)
+        shared = np.fromiter(map(bool, both), bool, len(both))
+        for side in (x, y):
+            found = np.maximum(found, _where(shared, np.zeros(len(rows)), ratio_many, both, side))
+        value[rows] = found
+    return value
+
+
+def partial_token_many(a: list[str], b: list[str]) -> np.ndarray:
+    parts = [_sets(x, y) for x, y in zip(a, b)]
+    apart = np.fromiter((not part[0] for part in parts), bool, len(parts))
+
+    def compare(x: list[str], y: list[str]) -> np.ndarray:
+        rest = [_sets(p, q) for p, q in zip(x, y)]
+        return np.maximum(partial_many(list(map(_sorted, x)), list(map(_sorted, y))), partial_many([r[1] for r in rest], [r[2] for r in rest]))
+
+    return _where(apart, np.full(len(a), 100.0), compare, a, b)
+
+
+def weighted_many(a: list[str], b: list[str]) -> np.ndarray:
+    long, short = (np.fromiter((f(len(x), len(y)) for x, y in zip(a, b)), np.int64, len(a)) for f in (max, min))
+    longer = long / np.maximum(short, 1)
+    near = lambda x, y: np.maximum(ratio_many(x, y), 0.95 * np.maximum(token_sort_many(x, y), token_set_many(x, y)))
+
+    def far(scale: float) -> Callable[[list[str], list[str]], np.ndarray]:
+        return lambda x, y: np.maximum(ratio_many(x, y), np.maximum(scale * partial_many(x, y), 0.95 * scale * partial_token_many(x, y)))
+
+    value = np.zeros(len(a))
+    for todo, compare in ((longer < 1.5, near), ((longer >= 1.5) & (longer <= 8), far(0.9)), (longer > 8, far(0.6))):
+        value = _where((short > 0) & todo, value, compare, a, b)
+    return value
+
+
+def jaro_winkler_many(a: list[str], b: list[str]) -> np.ndarray:
+    return lcs.jaro_winkler(a, b, jaro_winkler)
+
+
+def comparator(compare: Callable[[list[str], list[str]], np.ndarray]) -> Callable[[Column, Column], Column]:
+    """An Arrow function of two string columns from a comparator of batches; a pair that a batch repeats is compared once."""
 
     @F.pandas_udf("double")
-    def compare(left: pd.Series, right: pd.Series) -> pd.Series:
-        known: dict[tuple, float | None] = {}
-        out = []
-        for pair in zip(left, right):
-            if pair not in known:
-                known[pair] = None if pair[0] is None or pair[1] is None else function(*pair)
-            out.append(known[pair])
-        return pd.Series(out, dtype="float64")
+    def run(left: pd.Series, right: pd.Series) -> pd.Series:
+        pairs = pd.MultiIndex.from_arrays([left, right])
+        codes, distinct = pd.factorize(pairs)
+        known = [i for i, (x, y) in enumerate(distinct) if isinstance(x, str) and isinstance(y, str)]
+        value = np.full(len(distinct) + 1, np.nan)
+        if known:
+            value[known] = compare([distinct[i][0] for i in known], [distinct[i][1] for i in known])
+        return pd.Series(value[codes]).astype("Float64").mask(np.isnan(value[codes]))
 
-    return compare
+    return run
 
 
 #: Extension point: comparators by name.
-COMPARATORS: dict[str, Callable[[str, str], float]] = {
-    "ratio": ratio,
-    "partial": partial,
-    "token_sort": token_sort,
-    "token_set": token_set,
-    "weighted": weighted,
-    "jaro_winkler": jaro_winkler,
+COMPARATORS: dict[str, Callable[[list[str], list[str]], np.ndarray]] = {
+    "ratio": ratio_many,
+    "partial": partial_many,
+    "token_sort": token_sort_many,
+    "token_set": token_set_many,
+    "weighted": weighted_many,
+    "jaro_winkler": jaro_winkler_many,
 }
+#: The same for single pairs.
+SINGLE: dict[str, Callable[[str, str], float]] = {"ratio": ratio, "partial": partial, "token_sort": token_sort, "token_set": token_set, "weighted": weighted, "jaro_winkler": jaro_winkler}
 
 #: Extension point: (feature, column of the records, comparator). A matcher knows features by these names.
 STRING_FEATURES: list[tuple[str, str, str]] = [

@@ -1,9 +1,11 @@
 """Candidate generation: rare shared keys, weighted, with a top-k for each channel.
 
-One pass explodes the keys of all families. Document frequencies count the pool only, per country; keys above the cap are dropped, which
-bounds what a key can join. The postings join is an equi-join on (country, channel, key); a pair's name and address scores come from one
-aggregation, partial before its shuffle. Everything is keyed by country, so countries need no loop. Scores are rounded before
-they are ranked, and ties go to the smaller candidate, so that no order of summation shows.
+One pass explodes the keys of all families into a table that is written once: records are read and normalised once, however often keys are
+used. Document frequencies count the pool only, per country; keys above the cap are dropped, which bounds what a key can join. The
+cap is a fraction of the pool, and can be bounded in numbers as well (max_df), as pairs grow with its square. The postings join is an equi-join on (country,
+channel, key); its rows are dealt by source-1 record, where one shuffle serves the sum of a pair's scores and all ranks. Everything
+is keyed by country, so countries need no loop. Scores are rounded before they are ranked, and ties go to the smaller candidate, so
+that no order of summation shows.
 """
 
 from __future__ import annotations
@@ -11,6 +13,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from pairloom.sources.scratch import stash
+
 MAX_DF_FRACTION = 0.002
 LEAST_CAP = 20
 K = {"name": 30, "addr": 30, "both": 40}
@@ -55,11 +59,13 @@ def record_keys(records: DataFrame, families=None) -> DataFrame:
     return found.select("country", "idx", "src", F.try_element_at(channels, F.substring("key", 1, 2)).alias("channel"), "key")
 
 
-def key_weights(keys: DataFrame, records: DataFrame, max_df_fraction: float = MAX_DF_FRACTION) -> DataFrame:
-    """(country, channel, key, df, w) of pool keys up to the cap: w = 1 + ln(pool / df)."""
+def key_weights(keys: DataFrame, records: DataFrame, max_df_fraction: float = MAX_DF_FRACTION, max_df: int | None = None) -> DataFrame:
+    """(country, channel, key, df, w) of pool keys up to the cap, which max_df bounds in any pool: w = 1 + ln(pool / df)."""
     pool = records.filter("src <> 1").groupBy("country").agg(F.count("*").alias("n_pool"))
     df = keys.filter("src <> 1").groupBy("country", "channel", "key").agg(F.count("*").alias("df")).join(pool, "country")
     cap = F.greatest(F.lit(LEAST_CAP), F.floor(F.lit(max_df_fraction) * F.col("n_pool")))
+    if max_df is not None:
+        cap = F.least(cap, F.lit(max_df))
     return df.filter(F.col("df") <= cap).select("country", "channel", "key", "df", (1 + F.log(F.col("n_pool") / F.col("df"))).alias("w"))
 
 
@@ -71,24 +77,38 @@ def pair_scores(keys: DataFrame, weights: DataFrame, s1: DataFrame | None = None
         asked = asked.join(s1.select("idx"), "idx", "left_semi")
     query = asked.join(weights, on).withColumn("share", F.col("w") / F.sum("w").over(Window.partitionBy("idx", "channel")))
     pool = keys.filter("src <> 1").select("country", "channel", "key", F.col("idx").alias("cand_idx"))
-    # keys that no query record has leave the pool's postings before the join
-    joined = query.select(*on, F.col("idx").alias("s1_idx"), "share").join(pool, on)
+    # A pair's keys lie in different partitions of the join, so sums made there save nothing: deal the rows by s1_idx at once.
+    joined = query.select(*on, F.col("idx").alias("s1_idx"), "share").join(pool, on).select("country", "s1_idx", "cand_idx", "channel", "share").repartition("s1_idx")
     score = lambda c: F.round(F.sum(F.when(F.col("channel") == c, F.col("share")).otherwise(0.0)), DIGITS).alias(f"blk_{c}")
     return joined.groupBy("country", "s1_idx", "cand_idx").agg(score("name"), score("addr"))
 
 
+#: The score that each channel ranks by.
+CHANNELS = {"name": "blk_name", "addr": "blk_addr", "both": "blk_score"}
+
+
+def with_total(scores: DataFrame) -> DataFrame:
+    return scores.withColumn("blk_score", F.round(F.col("blk_name") + F.col("blk_addr"), DIGITS))
+
+
+def top_k(scores: DataFrame, channel: str, k: int) -> DataFrame:
+    """Pairs in the top k of one channel, with their rank in it: rows past k leave before they are ranked."""
+    column = CHANNELS[channel]
+    rank = F.row_number().over(Window.partitionBy("s1_idx").orderBy(F.desc(column), "cand_idx"))
+    return with_total(scores).filter(F.col(column) > 1e-6).withColumn(f"blk_rank_{channel}", rank).filter(F.col(f"blk_rank_{channel}") <= k)
+
+
 def channel_hits(scores: DataFrame, k: dict[str, int] = K) -> DataFrame:
     """Pairs in the top k of a channel, with their rank in each channel (k + 1 where they are not in it)."""
-    found = scores.withColumn("blk_score", F.round(F.col("blk_name") + F.col("blk_addr"), DIGITS))
-    columns = {"name": "blk_name", "addr": "blk_addr", "both": "blk_score"}
+    found = with_total(scores)
     hit = F.lit(False)
-    for channel, column in columns.items():
+    for channel, column in CHANNELS.items():
         order = Window.partitionBy("s1_idx").orderBy(F.desc(column), "cand_idx")
         rank = F.when(F.col(column) > 1e-6, F.row_number().over(order))
         found = found.withColumn(f"blk_rank_{channel}", F.when(rank <= k[channel], rank))
         hit = hit | F.col(f"blk_rank_{channel}").isNotNull()
     kept = found.filter(hit)
-    return kept.withColumns({f"blk_rank_{c}": F.coalesce(f"blk_rank_{c}", F.lit(k[c] + 1)) for c in columns})
+    return kept.withColumns({f"blk_rank_{c}": F.coalesce(f"blk_rank_{c}", F.lit(k[c] + 1)) for c in CHANNELS})
 
 
 def union_candidates(hits: DataFrame, scores: DataFrame, extra: DataFrame | None = None, k: dict[str, int] = K, most: int = MAX_CANDIDATES) -> DataFrame:
@@ -114,10 +134,12 @@ def within_country(extra: DataFrame, records: DataFrame) -> DataFrame:
     return extra.select("s1_idx", "cand_idx").join(left, "s1_idx").join(right, "cand_idx").filter("country = _c").select("s1_idx", "cand_idx")
 
 
-def generate_candidates(records: DataFrame, extra: DataFrame | None = None, s1: DataFrame | None = None, k: dict[str, int] = K, most: int = MAX_CANDIDATES, max_df_fraction: float = MAX_DF_FRACTION) -> DataFrame:
+def generate_candidates(records: DataFrame, extra: DataFrame | None = None, s1: DataFrame | None = None, k: dict[str, int] = K, most: int = MAX_CANDIDATES, max_df_fraction: float = MAX_DF_FRACTION, max_df: int | None = None) -> DataFrame:
     """s1_idx, cand_idx, blk_name, blk_addr, blk_score, blk_rank and the channels' ranks."""
-    keys = record_keys(records)
-    scores = pair_scores(keys, key_weights(keys, records, max_df_fraction), s1)
+    keys = stash(record_keys(records), "keys")
+    scores = pair_scores(keys, key_weights(keys, records, max_df_fraction, max_df), s1)
+    if extra is not None:
+        scores = stash(scores, "scores")
     return union_candidates(channel_hits(scores, k), scores, None if extra is None else within_country(extra, records), k, most).drop("country")
 
 

@@ -17,6 +17,7 @@ from pairloom.operators.normalize import normalize
 from pairloom.plans import evaluate as E
 from pairloom.plans import oracles as O
 from pairloom.sources import tables, world
+from pairloom.sources.scratch import stash
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -43,11 +44,10 @@ def _norm(spark: SparkSession, sf: str) -> DataFrame:
     return normalize(world.records(spark, sf))
 
 
-def _hits(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
+def _scores(spark: SparkSession, sf: str) -> DataFrame:
     records = _norm(spark, sf)
-    keys = B.record_keys(records)
-    scores = B.pair_scores(keys, B.key_weights(keys, records))
-    return B.channel_hits(scores), scores
+    keys = stash(B.record_keys(records), "keys")
+    return B.pair_scores(keys, B.key_weights(keys, records))
 
 
 def _candidates(spark: SparkSession, sf: str) -> DataFrame:
@@ -55,7 +55,8 @@ def _candidates(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _pairs(spark: SparkSession, sf: str) -> DataFrame:
-    records = _norm(spark, sf)
+    """Candidates with both sides' columns; records are normalised once, into a table."""
+    records = stash(_norm(spark, sf).select("idx", "country", *P.RECORD_COLUMNS), "records")
     return P.pair_table(B.generate_candidates(records).select("s1_idx", "cand_idx"), records)
 
 
@@ -227,15 +228,14 @@ def keys_bigrams(spark, sf):
 @query(f"WITH {O.BLOCK} SELECT country, channel, key, df, round(w, 6) AS w FROM wt")
 def df_cap_idf(spark, sf):
     records = _norm(spark, sf)
-    return B.key_weights(B.record_keys(records), records).withColumn("w", _r("w"))
+    return B.key_weights(stash(B.record_keys(records), "keys"), records).withColumn("w", _r("w"))
 
 
 def _channel(name: str, rank: str, k: int):
     @query(f"WITH {O.BLOCK} SELECT s1_idx, cand_idx, {rank} AS rank, {name} AS score FROM rk WHERE {rank} <= {k}")
     def block(spark, sf):
         channel = {"rn": "name", "ra": "addr", "rb": "both"}[rank]
-        hits, _ = _hits(spark, sf)
-        return hits.filter(F.col(f"blk_rank_{channel}") <= k).select("s1_idx", "cand_idx", F.col(f"blk_rank_{channel}").cast("long").alias("rank"), F.col(name).alias("score"))
+        return B.top_k(_scores(spark, sf), channel, k).select("s1_idx", "cand_idx", F.col(f"blk_rank_{channel}").cast("long").alias("rank"), F.col(name).alias("score"))
 
     return block
 
@@ -543,8 +543,8 @@ def errors_fn(spark, sf):
 def gbt_predict(spark, sf):
     """Train on the fit fold of the noisy world of whole records and score all of its candidates."""
     records, truth = world.whole_noisy_world(spark, sf)
-    found = normalize(records).cache()
+    found = stash(normalize(records), "records")
     meta = sampling.s1_meta(found, truth)
-    pairs = P.build_features(B.generate_candidates(found).drop("from_extra"), found, truth, meta).cache()
+    pairs = stash(P.build_features(B.generate_candidates(found).drop("from_extra"), found, truth, meta), "features")
     model = matcher.train(pairs, P.feature_columns(pairs))
     return matcher.predict(model, pairs)

@@ -44,12 +44,89 @@ def test_partial_is_the_best_window(a, b):
 @given(WORDS, WORDS)
 @settings(max_examples=200, deadline=None)
 def test_bounds_and_symmetry(a, b):
-    for name, f in S.COMPARATORS.items():
+    for name, f in S.SINGLE.items():
         top = 1.0 if name == "jaro_winkler" else 100.0
         assert 0 <= f(a, b) <= top + 1e-9
         assert f(a, b) == pytest.approx(f(b, a))
 
 
+def slow_ratio(a, b):
+    return 100.0 if a == b else 200.0 * slow_lcs(a, b) / (len(a) + len(b))
+
+
+def slow_partial(a, b):
+    if a == b:
+        return 100.0
+    if not a or not b:
+        return 0.0
+    sides = [(a, b)] * (len(a) <= len(b)) + [(b, a)] * (len(b) <= len(a))
+    return max(slow_ratio(s, long[max(0, k) : k + len(s)]) for s, long in sides for k in range(1 - len(s), len(long)))
+
+
+def slow_words(a, b):
+    """What two strings share, and what each has alone, as sorted distinct words."""
+    x, y = set(a.split()), set(b.split())
+    return tuple(" ".join(sorted(w)) for w in (x & y, x - y, y - x))
+
+
+def slow_token_sort(a, b):
+    return slow_ratio(*(" ".join(sorted(t.split())) for t in (a, b)))
+
+
+def slow_token_set(a, b):
+    if not a.split() or not b.split():
+        return 0.0
+    both, left, right = slow_words(a, b)
+    if both and (not left or not right):
+        return 100.0
+    with_left, with_right = (both + " " + left).strip(), (both + " " + right).strip()
+    scores = [slow_ratio(with_left, with_right)]
+    if both:
+        scores += [slow_ratio(both, with_left), slow_ratio(both, with_right)]
+    return max(scores)
+
+
+def slow_weighted(a, b):
+    if not a or not b:
+        return 0.0
+    longer = max(len(a), len(b)) / min(len(a), len(b))
+    if longer < 1.5:
+        return max(slow_ratio(a, b), 0.95 * slow_token_sort(a, b), 0.95 * slow_token_set(a, b))
+    scale = 0.9 if longer <= 8 else 0.6
+    both, left, right = slow_words(a, b)
+    words = 100.0 if both else max(slow_partial(*(" ".join(sorted(t.split())) for t in (a, b))), slow_partial(left, right))
+    return max(slow_ratio(a, b), scale * slow_partial(a, b), 0.95 * scale * words)
+
+
+SLOW = {"ratio": slow_ratio, "partial": slow_partial, "token_sort": slow_token_sort, "token_set": slow_token_set, "weighted": slow_weighted}
+
+
+@given(st.lists(st.tuples(st.one_of(WORDS, st.text("aé日 ", max_size=70)), WORDS), min_size=1, max_size=8))
+@settings(max_examples=150, deadline=None)
+def test_batches_against_brute_force(pairs):
+    a, b = [x for x, _ in pairs], [y for _, y in pairs]
+    for name, slow in SLOW.items():
+        assert S.COMPARATORS[name](a, b).tolist() == pytest.approx([slow(x, y) for x, y in pairs]), name
+        assert [S.SINGLE[name](x, y) for x, y in pairs] == pytest.approx([slow(x, y) for x, y in pairs]), name
+    assert S.jaro_winkler_many(a, b).tolist() == pytest.approx([S.jaro_winkler(x, y) for x, y in pairs])
+
+
+def test_pinned_values():
+    """By hand: three of four letters shared; sorted words; shared words alone; a window."""
+    assert S.ratio("abcd", "abed") == 75 and S.token_sort("b c a", "a b d") == 80
+    assert S.token_set("a b c", "a b d") == 80 and S.partial("abc", "xxabcxx") == 100
+    assert S.weighted("abc", "xxxabcxxx") == 90 and S.weighted("ab", "ab" + "x" * 20) == 60
+
+
+def test_long_strings_in_batches():
+    rng = random.Random(6)
+    text = lambda n: "".join(rng.choices("abcd ", k=n))
+    pairs = [(text(rng.choice((0, 5, 63, 64, 65, 200))), text(rng.choice((1, 64, 65, 130, 2000)))) for _ in range(60)]
+    a, b = [x for x, _ in pairs], [y for _, y in pairs]
+    for name, f in S.SINGLE.items():
+        assert S.COMPARATORS[name](a, b).tolist() == pytest.approx([f(x, y) for x, y in pairs]), name
+
+
 def test_conventions():
     assert S.ratio("", "") == 100 and S.ratio("", "a") == 0
     assert S.token_set("a b", "b a c") == 100 and S.token_set("", "a") == 0
@@ -69,5 +146,5 @@ def test_jaro_winkler_against_duckdb():
 
 def test_null_in_null_out(spark):
     df = spark.createDataFrame([("a", None), ("a", "a"), (None, None)], "l string, r string")
-    rows = df.select(S.comparator(S.ratio)("l", "r").alias("x")).collect()
+    rows = df.select(S.comparator(S.ratio_many)("l", "r").alias("x")).collect()
     assert [r.x for r in rows] == [None, 100.0, None]
