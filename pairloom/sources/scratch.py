@@ -10,8 +10,9 @@ from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
-#: Shuffle files of a job that ended in a table are of no more use: Spark removes them when the job ends.
-_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+#: For the time of the job that writes a table: its shuffle files are of no more use when it ends, so Spark removes them; and an
+#: Arrow batch, which the JVM, Python and what Python makes of it hold at once, has fewer bytes than Spark's 64 MB.
+_WHILE_WRITING = {"spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true", "spark.sql.execution.arrow.maxBytesPerBatch": "16m"}
 _paths: weakref.WeakKeyDictionary[DataFrame, str] = weakref.WeakKeyDictionary()
 
 
@@ -31,17 +32,19 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 @contextmanager
-def _setting(spark: SparkSession, key: str, value: str) -> Iterator[None]:
-    """A setting for the time of one eager job; the old one comes back."""
-    old = spark.conf.get(key, None)
-    spark.conf.set(key, value)
+def _settings(spark: SparkSession, values: dict[str, str]) -> Iterator[None]:
+    """Settings for the time of one eager job; the old ones come back."""
+    old = {key: spark.conf.get(key, None) for key in values}
+    for key, value in values.items():
+        spark.conf.set(key, value)
     try:
         yield
     finally:
-        if old is None:
-            spark.conf.unset(key)
-        else:
-            spark.conf.set(key, old)
+        for key, value in old.items():
+            if value is None:
+                spark.conf.unset(key)
+            else:
+                spark.conf.set(key, value)
 
 
 def _filesystem(spark: SparkSession, path: str):
@@ -57,7 +60,7 @@ def stash(df: DataFrame, name: str, partition_by: str | None = None) -> DataFram
     spark = df.sparkSession
     path = f"{shared_dir(spark).rstrip('/')}/pairloom/{name}-{uuid.uuid4().hex}"
     writer = df.write.option("compression", "zstd")
-    with _setting(spark, _CLEANUP, "true"):
+    with _settings(spark, _WHILE_WRITING):
         (writer.partitionBy(partition_by) if partition_by else writer).parquet(path)
     where, files = _filesystem(spark, path)
     files.deleteOnExit(where)

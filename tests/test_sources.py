@@ -66,10 +66,10 @@ def test_dense_idx_of_few_rows(spark):
 
 
 def test_stash(spark):
-    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
-    before = spark.conf.get(key)
+    keys = ["spark.sql.classic.shuffleDependency.fileCleanup.enabled", "spark.sql.execution.arrow.maxBytesPerBatch"]
+    before = [spark.conf.get(k) for k in keys]
     made = stash(spark.range(10).repartition(3, "id"), "test")
-    assert made.count() == 10 and spark.conf.get(key) == before
+    assert made.count() == 10 and [spark.conf.get(k) for k in keys] == before
     path = made.inputFiles()[0].removeprefix("file:")
     assert os.path.exists(path)
     discard(made)
