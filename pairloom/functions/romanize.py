@@ -9,6 +9,8 @@ import pandas as pd
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from pairloom.functions.text import FOLD_PAIRS
+
 _INDIC = ("DEVANAGARI", "TAMIL", "TELUGU", "GURMUKHI", "BENGALI", "GUJARATI", "KANNADA", "MALAYALAM", "ORIYA")
 
 
@@ -17,6 +19,8 @@ def _letter(char: str) -> tuple[str, str]:
     """(kind, sound) of a character: consonant, vowel sign, virama, or plain."""
     if char.isascii():
         return "plain", char
+    if char in FOLD_PAIRS:
+        return "plain", FOLD_PAIRS[char]
     base = unicodedata.normalize("NFKD", char)[0]
     if base.isascii():
         return "plain", base

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pairloom.functions import tokens as K
 
 NON_LATIN = "[" + "".join(rf"\p{{Is{s}}}" for s in K.SCRIPTS) + "]"
+# Fixed value.
 WEBSITE = r"(?i)(www\.|\.(com|net|org|co\.in|in|fr)\b)"
 
 
@@ -58,16 +59,7 @@ def website(name: Column) -> Column:
     return F.coalesce(name, F.lit("")).rlike(WEBSITE)
 
 
-def transliterate(name: Column, table: Column | None) -> Column:
-    """Lower-cased name; for names that are not Latin, words that the table (a map column) has are replaced."""
-    lowered = F.lower(F.coalesce(name, F.lit("")))
-    if table is None:
-        return lowered
-    words = F.split(F.trim(lowered), r"\s+")
-    return F.when(nonlatin(name), F.array_join(F.transform(words, lambda w: F.coalesce(F.try_element_at(table, w), w)), " ")).otherwise(lowered)
-
-
-#: The steps over a folded, lower-case name, in this order: (pattern, replacement).
+#: The steps over a folded, lower-case name, in this order: (pattern, replacement). Fixed values.
 NAME_STEPS = [
     (r"www\.", " "),
     (r"\.(com|net|org|co\.in|in|fr|biz|info|us)\b", " "),
@@ -87,9 +79,9 @@ def chain(text: Column, steps) -> Column:
     return text
 
 
-def name_base(name: Column, table: Column | None = None) -> Column:
+def name_base(name: Column) -> Column:
     """The name after all text steps, before words are looked at."""
-    return F.trim(chain(F.lower(fold(transliterate(name, table))), NAME_STEPS))
+    return F.trim(chain(F.lower(fold(F.lower(F.coalesce(name, F.lit(""))))), NAME_STEPS))
 
 
 def deleet(token: Column) -> Column:
@@ -123,6 +115,7 @@ def address_base(address: Column) -> Column:
     return F.regexp_replace(F.lower(fold(F.coalesce(address, F.lit("")))), r"<\s*null\s*>|\bnull\b", " ")
 
 
+#: Fixed values.
 ADDRESS_STEPS = [(r"[^a-z0-9,]+", " "), (r"\s*,\s*", ", "), (r"\s+", " ")]
 
 

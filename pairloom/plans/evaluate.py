@@ -2,9 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+import functools
+
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from pairloom.sources import tables
+from pairloom.sources.scratch import stash
+
 EXAMPLES = 5
 
 
@@ -34,7 +39,10 @@ def score_lists(predicted: DataFrame, truth: DataFrame, strict: bool = True) ->
 
 
 def violations(lists: DataFrame, required: DataFrame, valid: DataFrame | None = None) -> DataFrame:
-    """(rule, n, examples) for every broken rule. lists: rows (id, list) as they are in the file; required, valid: (id)."""
+    """(rule, n, examples) for every broken rule: how many ids break it, and the first EXAMPLES of them.
+
+    lists: rows (id, list) as they are in the file; required, valid: (id).
+    """
     items = lists.select("id", F.explode(F.split("list", ",")).alias("item")).filter("item <> ''")
     own = items.filter(F.startswith("item", F.lit("S1-")))
     odd = items.filter(~F.col("item").rlike("^S[123]-"))
@@ -49,34 +57,34 @@ def violations(lists: DataFrame, required: DataFrame, valid: DataFrame | None =
     if valid is not None:
         known = items.filter(F.col("item").rlike("^S[23]-")).select(F.col("item").alias("id"))
         found["unknown_id"] = known.join(valid.select("id"), "id", "left_anti")
-    parts = None
-    for rule, ids in found.items():
-        distinct = ids.distinct()
-        part = distinct.agg(F.count("*").alias("n"), F.min("id").alias("first")).filter("n > 0").select(F.lit(rule).alias("rule"), "n", "first")
-        parts = part if parts is None else parts.unionByName(part)
-    return parts
-
-
-def header_errors(path: str, expected: list[str]) -> list[str]:
-    """What is wrong with the first line of an id-list file; empty if nothing is."""
-    try:
-        with open(path, encoding="utf-8") as f:
-            header = f.readline().rstrip("\n")
-    except FileNotFoundError:
+    broken = functools.reduce(DataFrame.unionByName, (ids.select(F.lit(rule).alias("rule"), "id") for rule, ids in found.items()))
+    broken = stash(broken.distinct(), "violations")
+    ranked = broken.withColumn("k", F.row_number().over(Window.partitionBy("rule").orderBy("id"))).filter(F.col("k") <= EXAMPLES)
+    examples = ranked.groupBy("rule").agg(F.sort_array(F.collect_list("id")).alias("examples"))
+    return broken.groupBy("rule").agg(F.count("*").alias("n")).join(examples, "rule").select("rule", "n", "examples")
+
+
+def header_errors(spark: SparkSession, path: str, expected: list[str]) -> list[str]:
+    """What is wrong with the first line of an id-list file, or of the files of a folder; empty if nothing is."""
+    if not tables.exists(spark, path):
         return ["missing_file"]
-    if not header:
-        return ["empty_file"]
-    if "\t" not in header and "," in header:
-        return ["comma_separated"]
-    return [] if [c.strip().lower() for c in header.split("\t")] == expected else ["wrong_header"]
+    wrong = set()
+    for header in tables.first_lines(spark, path) or [None]:
+        if not header:
+            wrong.add("empty_file")
+        elif "\t" not in header and "," in header:
+            wrong.add("comma_separated")
+        elif [c.strip().lower() for c in header.split("\t")] != expected:
+            wrong.add("wrong_header")
+    return sorted(wrong)
 
 
 def read_rows(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
-    """(rows (id, list), malformed lines) of an id-list file without its header."""
-    lines = spark.read.text(path).withColumn("_n", F.monotonically_increasing_id()).filter("_n > 0")
-    cut = F.instr("value", "\t")
-    good = lines.filter(cut > 0).select(F.expr("substring(value, 1, instr(value, '\t') - 1)").alias("id"), F.expr("trim(substring(value, instr(value, '\t') + 1))").alias("list"))
-    return good, lines.filter((cut == 0) & (F.trim("value") != "")).select("value")
+    """(rows (id, list), malformed lines) of an id-list file or folder without headers."""
+    lines = tables.read_lines(spark, path).select("value")
+    key, rest = tables.split_line()
+    split = lines.select("value", key.alias("id"), F.trim(rest).alias("list"))
+    return split.filter("list IS NOT NULL").select("id", "list"), split.filter("list IS NULL AND trim(value) <> ''").select("value")
 
 
 def not_candidates(matches: DataFrame, candidates: DataFrame) -> DataFrame:
@@ -85,16 +93,31 @@ def not_candidates(matches: DataFrame, candidates: DataFrame) -> DataFrame:
     return joined.select("id", F.array_except("ids", F.coalesce("_c", F.array().cast("array<string>"))).alias("ids")).filter(F.size("ids") > 0)
 
 
-def validate(spark: SparkSession, path: str, expected: list[str], required: DataFrame, valid: DataFrame | None = None) -> tuple[bool, str]:
-    """(passed, report) of one id-list file."""
-    fatal = header_errors(path, expected)
+def counted(examples: list[str], n: int) -> str:
+    """How many there are, and up to EXAMPLES of them."""
+    return f"{n} ({', '.join(sorted(examples)[:EXAMPLES])}{', ...' if n > EXAMPLES else ''})"
+
+
+def validate(spark: SparkSession, path: str, expected: list[str], required: DataFrame, valid: DataFrame | None = None, candidates: str | None = None) -> tuple[bool, str]:
+    """(passed, report) of one id-list file or folder. candidates: a file of candidate lists; matches outside them are warned of."""
+    fatal = header_errors(spark, path, expected)
     if fatal:
         return False, f"FAIL {path}: {', '.join(fatal)}"
     rows, malformed = read_rows(spark, path)
-    found = [f"{r.rule}: {r.n}, such as {r.first}" for r in violations(rows, required, valid).orderBy("rule").collect()]
+    found = [f"{r.rule}: {counted(r.examples, r.n)}" for r in violations(rows, required, valid).orderBy("rule").collect()]
     bad = malformed.count()
-    found += [f"malformed_row: {bad}"] if bad else []
-    return not found, f"FAIL {path}: " + "; ".join(found) if found else f"PASS {path}"
+    if bad:
+        found.append(f"malformed_row: {counted([r.value for r in malformed.orderBy('value').limit(EXAMPLES).collect()], bad)}")
+    report = f"FAIL {path}: " + "; ".join(found) if found else f"PASS {path}"
+    if candidates is not None:
+        if not tables.exists(spark, candidates):
+            report += f"\nWARN no file {candidates}: matches are not compared with candidates"
+        else:
+            outside = not_candidates(tables.read_id_lists(spark, path), tables.read_id_lists(spark, candidates))
+            n = outside.count()
+            if n:
+                report += f"\nWARN matches that are no candidates: {counted([r.id for r in outside.orderBy('id').limit(EXAMPLES).collect()], n)}"
+    return not found, report
 
 
 def false_positives(predicted: DataFrame, records: DataFrame, n: int = 50) -> DataFrame:

@@ -19,6 +19,7 @@ def _chain(x: str, *steps: tuple[str, str]) -> str:
     return x
 
 
+# Patterns, tables and constants of the linkage are fixed values, here as in the Spark plans.
 FOLD = "strip_accents(replace(replace(replace({0}, 'ß', 'ss'), 'œ', 'oe'), 'æ', 'ae'))"
 RECORDS = """
 rec AS (SELECT doc_id AS idx, CASE WHEN n % 4 = 0 THEN 1 WHEN n % 2 = 1 THEN 2 ELSE 3 END AS src, lang AS country,
@@ -27,6 +28,19 @@ rec AS (SELECT doc_id AS idx, CASE WHEN n % 4 = 0 THEN 1 WHEN n % 2 = 1 THEN 2 E
 truth AS (SELECT f.s1_idx, r.idx AS cand_idx FROM rec r JOIN
           (SELECT country, business_name, business_address, min(idx) AS s1_idx FROM rec WHERE src = 1 GROUP BY ALL) f
           USING (country, business_name, business_address) WHERE r.src <> 1)"""
+SCRIPTS = "[" + "".join(rf"\p{{{x}}}" for x in K.SCRIPTS) + "]"
+_latin, _cyrillic = "aeiostnr", "аеиостнр"
+TWO_SCRIPTS = f"two AS (SELECT idx, src, lower(business_name) AS latin, CASE WHEN src = 3 THEN translate(lower(business_name), '{_latin}', '{_cyrillic}') ELSE lower(business_name) END AS business_name FROM rec)"
+LEARNED = rf"""
+lw AS (SELECT string_split_regex(trim(regexp_replace(latin, '[^\p{{L}}\p{{N}}_\s]', ' ', 'g')), '\s+') AS x, string_split_regex(trim(regexp_replace(business_name, '[^\p{{L}}\p{{N}}_\s]', ' ', 'g')), '\s+') AS y
+       FROM two WHERE src = 3 AND regexp_matches(business_name, '{SCRIPTS}')),
+lp AS (SELECT y[i] AS word, x[i] AS latin FROM (SELECT x, y, unnest(range(1, len(x) + 1)) AS i FROM lw WHERE len(x) = len(y)) WHERE regexp_matches(y[i], '{SCRIPTS}')),
+lc AS (SELECT word, latin, count(*) AS k FROM lp GROUP BY ALL),
+lr AS (SELECT *, sum(k) OVER (PARTITION BY word) AS total, row_number() OVER (PARTITION BY word ORDER BY k DESC, latin) AS r FROM lc),
+mapped AS (SELECT map(list(word), list(latin)) AS m FROM lr WHERE r = 1 AND k >= 2 AND k::DOUBLE / total >= 0.5)"""
+ROMANIZED = FOLD.format("business_name")
+for _a, _b in zip(_cyrillic, ("a", "ie", "i", "o", "es", "te", "en", "er")):
+    ROMANIZED = f"replace({ROMANIZED}, '{_a}', '{_b}')"
 _name = _chain(
     f"lower({FOLD.format('lower(business_name)')})",
     (r"www\.", " "),
@@ -138,3 +152,56 @@ def overlap(prefix: str, column: str) -> str:
     i = f"len(list_intersect({a}, {b}))"
     return f"""CAST({i} AS INTEGER) AS {prefix}_inter, CASE WHEN len({a}) + len({b}) - {i} > 0 THEN round({i}::DOUBLE / (len({a}) + len({b}) - {i}), 6) END AS {prefix}_jac,
       CASE WHEN len({a}) > 0 THEN round({i}::DOUBLE / len({a}), 6) END AS {prefix}_cont1, CASE WHEN len({b}) > 0 THEN round({i}::DOUBLE / len({b}), 6) END AS {prefix}_cont2"""
+
+
+# -- comparators: a bit-parallel longest common subsequence in a 127-bit integer, for strings below that length ------------------------------------
+
+
+def _lcs(a: str, b: str) -> str:
+    full = f"((1::HUGEINT << length({a})::INTEGER) - 1)"
+    mask = f"list_sum(list_transform(range(length({a})), lambda place: CASE WHEN substr({a}, place + 1, 1) = letter THEN 1::HUGEINT << place::INTEGER ELSE 0::HUGEINT END))::HUGEINT"
+    steps = f"list_transform(string_split({b}, ''), lambda letter: {mask})"
+    return f"(length({a}) - bit_count(list_reduce({steps}, lambda state, mask: ((state + (state & mask)) | (state - (state & mask))) & {full}, {full})))"
+
+
+def ratio(a: str, b: str) -> str:
+    return f"CASE WHEN {a} = {b} THEN 100.0::DOUBLE WHEN {a} = '' OR {b} = '' THEN 0.0::DOUBLE ELSE 200.0::DOUBLE * {_lcs(a, b)} / (length({a}) + length({b})) END"
+
+
+def similarity(kind: str, pairs: str) -> str:
+    """(a, b, score) of distinct pairs (a, b)."""
+    words = lambda c: f"list_filter(string_split({c}, ' '), lambda t: t <> '')"
+    apart = lambda x, y: f"array_to_string(list_sort(list_filter({x}, lambda t: NOT list_contains({y}, t))), ' ')"
+    stages = f"""
+p0 AS (SELECT a, b, {words('a')} AS wa, {words('b')} AS wb FROM ({pairs})),
+p1 AS (SELECT *, list_distinct(wa) AS da, list_distinct(wb) AS db, array_to_string(list_sort(wa), ' ') AS sa, array_to_string(list_sort(wb), ' ') AS sb FROM p0),
+p2 AS (SELECT *, array_to_string(list_sort(list_filter(da, lambda t: list_contains(db, t))), ' ') AS common, {apart('da', 'db')} AS l, {apart('db', 'da')} AS r FROM p1),
+p3 AS (SELECT *, trim(common || ' ' || l) AS x, trim(common || ' ' || r) AS y FROM p2)"""
+    sorted_ = ratio("sa", "sb")
+    sets = f"CASE WHEN len(da) = 0 OR len(db) = 0 THEN 0.0 WHEN common <> '' AND (l = '' OR r = '') THEN 100.0 ELSE greatest({ratio('x', 'y')}, CASE WHEN common <> '' THEN greatest({ratio('common', 'x')}, {ratio('common', 'y')}) ELSE 0.0 END) END"
+
+    def best(name: str, a: str, b: str) -> str:
+        """A table of the best windows: of each side that is not longer, against the other one."""
+        return f"""
+w_{name} AS (SELECT a, b, s, substr(t, greatest(k, 0) + 1, least(length(t), k + length(s)) - greatest(k, 0)) AS w FROM (
+    SELECT a, b, s, t, unnest(range(1 - length(s), length(t))) AS k FROM (
+      SELECT p.a, p.b, p.{a} AS s, p.{b} AS t FROM p3 p WHERE length(p.{a}) <= length(p.{b}) AND p.{a} <> ''
+      UNION ALL SELECT p.a, p.b, p.{b}, p.{a} FROM p3 p WHERE length(p.{b}) <= length(p.{a}) AND p.{b} <> ''))),
+{name} AS (SELECT p.a, p.b, CASE WHEN p.{a} = p.{b} THEN 100.0 WHEN p.{a} = '' OR p.{b} = '' THEN 0.0 ELSE v END AS v FROM p3 p
+    LEFT JOIN (SELECT a, b, max({ratio('s', 'w')}) AS v FROM w_{name} GROUP BY a, b) m ON m.a = p.a AND m.b = p.b)"""
+
+    if kind == "ratio":
+        return f"WITH {stages} SELECT a, b, round({ratio('a', 'b')}, 6) AS score FROM p3"
+    if kind == "token_sort":
+        return f"WITH {stages} SELECT a, b, round({sorted_}, 6) AS score FROM p3"
+    if kind == "token_set":
+        return f"WITH {stages} SELECT a, b, round({sets}, 6) AS score FROM p3"
+    if kind == "partial":
+        return f"WITH {stages}, {best('whole', 'a', 'b')} SELECT a, b, round(v, 6) AS score FROM whole"
+    longer = "greatest(length(p.a), length(p.b))::DOUBLE / least(length(p.a), length(p.b))"
+    scale = f"CASE WHEN {longer} <= 8 THEN 0.9 ELSE 0.6 END::DOUBLE"
+    near = f"greatest({ratio('p.a', 'p.b')}, 0.95::DOUBLE * greatest({sorted_}, {sets}))"
+    far = f"greatest({ratio('p.a', 'p.b')}, {scale} * whole.v, 0.95::DOUBLE * {scale} * CASE WHEN common <> '' THEN 100.0 ELSE greatest(sort.v, rest.v) END)"
+    return f"""WITH {stages}, {best('whole', 'a', 'b')}, {best('sort', 'sa', 'sb')}, {best('rest', 'l', 'r')}
+SELECT p.a, p.b, round(CASE WHEN p.a = '' OR p.b = '' THEN 0.0 WHEN {longer} < 1.5 THEN {near} ELSE {far} END, 6) AS score
+FROM p3 p JOIN whole ON whole.a = p.a AND whole.b = p.b JOIN sort ON sort.a = p.a AND sort.b = p.b JOIN rest ON rest.a = p.a AND rest.b = p.b"""

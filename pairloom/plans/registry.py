@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pairloom.functions import text as X
+from pairloom.functions.romanize import romanize
 from pairloom.functions.similarity import COMPARATORS, comparator
 from pairloom.operators import blocking as B
 from pairloom.operators import decide as D
@@ -17,7 +19,9 @@ from pairloom.operators.normalize import normalize
 from pairloom.plans import evaluate as E
 from pairloom.plans import oracles as O
 from pairloom.sources import tables, world
-from pairloom.sources.scratch import stash
+from pairloom.plans.pipeline import Work
+from pairloom.plans.pipeline import fit_pairs as only_fit_pairs
+from pairloom.sources.scratch import shared_dir, stash
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -96,6 +100,37 @@ def id_lists(spark, sf):
     return tables.id_lists(orders, kept, "s1_idx", "cand", "o", "matched")
 
 
+@query("""SELECT row_number() OVER (ORDER BY src, entity_id) - 1 AS idx, entity_id, src, business_name, business_address, country FROM (
+  SELECT 1 AS src, 'S1-' || c_custkey AS entity_id, c_name AS business_name, c_mktsegment AS business_address, 'n' || c_nationkey AS country FROM customer
+  UNION ALL SELECT 2, 'S2-' || s_suppkey, s_name, '', 'n' || s_nationkey FROM supplier UNION ALL SELECT 3, 'S3-' || p_partkey, p_name, p_type, 'n' || p_size FROM part)""")
+def read_sources(spark, sf):
+    """Three tables written as TSV and read as sources."""
+    folder = f"{shared_dir(spark)}/pairloom/sources-{uuid.uuid4().hex}"
+    shapes = {"customer": ("c_custkey", "c_name", "c_mktsegment", "c_nationkey"), "supplier": ("s_suppkey", "s_name", None, "s_nationkey"), "part": ("p_partkey", "p_name", "p_type", "p_size")}
+    for k, ((table, (key, name, address, country)), path) in enumerate(zip(shapes.items(), tables.source_paths(folder, "t")), 1):
+        rows = spark.read.parquet(f"{sf}/{table}.parquet").select(
+            F.concat(F.lit(f"S{k}-"), F.col(key).cast("string")).alias("entity_id"), F.col(name).alias("business_name"),
+            (F.col(address) if address else F.lit("")).alias("business_address"), F.concat(F.lit("n"), F.col(country).cast("string")).alias("country"),
+        )
+        tables.write_tsv(rows, path)
+    return tables.read_sources(spark, folder, "t").withColumn("src", F.col("src").cast("int"))
+
+
+@query(f"""WITH {O.SCORED}, g AS (SELECT s1_idx, string_agg(CAST(cand_idx AS VARCHAR), ',' ORDER BY p DESC, CAST(cand_idx AS VARCHAR)) AS ids FROM owned WHERE p >= 0.5 GROUP BY s1_idx)
+SELECT CAST(o_orderkey AS VARCHAR) AS id, coalesce(ids, '') AS ids FROM orders LEFT JOIN g ON s1_idx = o_orderkey""")
+def write_and_read_lists(spark, sf):
+    path = f"{shared_dir(spark)}/pairloom/lists-{uuid.uuid4().hex}"
+    tables.write_tsv(id_lists(spark, sf), path)
+    return tables.read_id_lists(spark, path).select("id", F.array_join("ids", ",").alias("ids"))
+
+
+@query(f"WITH {O.NORM} SELECT idx, name_norm FROM n WHERE country = 'en'")
+def work_table_of_a_country(spark, sf):
+    """A table partitioned by country: one folder and two columns are read."""
+    work = Work(spark, f"{shared_dir(spark)}/pairloom/work-{uuid.uuid4().hex}")
+    return work.table("records", lambda: _norm(spark, sf), "country").filter("country = 'en'").select("idx", "name_norm")
+
+
 # -- normalisation --------------------------------------------------------------------------------------------------------------------------------
 
 
@@ -170,6 +205,33 @@ def flag_nonascii(spark, sf):
     return spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", F.col("text").rlike(r"[^\x00-\x7F]").alias("nonascii"), X.nonlatin(F.col("text")).alias("nonlatin"))
 
 
+@query(f"WITH {O.RECORDS}, {O.TWO_SCRIPTS} SELECT idx, regexp_matches(business_name, '{O.SCRIPTS}') AS nonlatin FROM two")
+def flag_nonlatin(spark, sf):
+    return world.two_scripts(spark, sf).select("idx", X.nonlatin(F.col("business_name")).alias("nonlatin"))
+
+
+@query(rf"""WITH {O.RECORDS}, {O.TWO_SCRIPTS}, {O.LEARNED}
+SELECT idx, CASE WHEN regexp_matches(business_name, '{O.SCRIPTS}') THEN array_to_string(list_transform(string_split_regex(trim(business_name), '\s+'), lambda t: coalesce(m[t], t)), ' ')
+  ELSE business_name END AS name FROM two, mapped""")
+def transliterate_words(spark, sf):
+    records = world.two_scripts(spark, sf)
+    pairs = records.filter("src = 3").select(F.col("latin").alias("n1"), F.col("business_name").alias("n2"))
+    return translit.transliterated(records, translit.learn_dictionary(pairs)).select("idx", F.col("latin_name").alias("name"))
+
+
+@query(ORACLE_SQL["transliterate_words"])
+def transliterate_joined(spark, sf):
+    """The same for dictionaries of any size."""
+    records = world.two_scripts(spark, sf)
+    pairs = records.filter("src = 3").select(F.col("latin").alias("n1"), F.col("business_name").alias("n2"))
+    return translit.joined(records, translit.learn_dictionary(pairs)).select("idx", F.col("latin_name").alias("name"))
+
+
+@query(f"WITH {O.RECORDS}, {O.TWO_SCRIPTS} SELECT idx, {O.ROMANIZED} AS name FROM two WHERE src = 3")
+def romanize_names(spark, sf):
+    return world.two_scripts(spark, sf).filter("src = 3").select("idx", romanize(F.col("business_name")).alias("name"))
+
+
 # Documents have no other script, so words with an accent play the part here.
 ACCENT = "[àâäçèéêëíîïñóôöùúûüÿßœ]"
 
@@ -212,6 +274,19 @@ def s1_meta(spark, sf):
     return sampling.s1_meta(records, world.truth(records))
 
 
+@query(f"WITH {O.RECORDS} SELECT s1_idx, cand_idx FROM truth WHERE {O.bucket(chr(39) + 'S1-' + chr(39) + ' || s1_idx', 13)} >= 2000")
+def fit_pairs(spark, sf):
+    records = world.records(spark, sf)
+    truth = world.truth(records)
+    return only_fit_pairs(truth, sampling.s1_meta(records, truth)).select("s1_idx", "cand_idx")
+
+
+@query("SELECT c_custkey, c_name FROM customer ORDER BY md5(CAST(c_custkey AS VARCHAR)), c_custkey LIMIT 20")
+def error_sample(spark, sf):
+    """A report of fixed size."""
+    return sampling.error_sample(spark.read.parquet(f"{sf}/customer.parquet").select("c_custkey", "c_name"), "c_custkey", 20)
+
+
 # -- blocking --------------------------------------------------------------------------------------------------------------------------------------
 
 
@@ -305,13 +380,14 @@ def pair_cosine(spark, sf):
   FROM embeddings a JOIN embeddings b ON a.label = b.label WHERE a.vec_id % 100 = 0) WHERE rank <= 10""")
 def knn_topk(spark, sf):
     v = _vectors(spark, sf)
-    return vectors.knn_topk(v.filter("idx % 100 = 0"), v, 10).select("s1_idx", "cand_idx", F.col("rank").cast("long").alias("rank"))
+    return vectors.knn(v.filter("idx % 100 = 0"), v, 10).select("s1_idx", "cand_idx", F.col("rank").cast("long").alias("rank"))
 
 
 @query(ORACLE_SQL["knn_topk"])
 def knn_blocked(spark, sf):
+    """The same in several blocks of queries."""
     v = _vectors(spark, sf)
-    return vectors.knn(v.filter("idx % 100 = 0"), v, 10).select("s1_idx", "cand_idx", F.col("rank").cast("long").alias("rank"))
+    return vectors.knn(v.filter("idx % 100 = 0"), v, 10, 4096).select("s1_idx", "cand_idx", F.col("rank").cast("long").alias("rank"))
 
 
 @query(f"WITH {O.RECORDS} SELECT idx, md5('query: ' || business_name || ' | ' || business_address) AS text_md5 FROM rec")
@@ -346,7 +422,7 @@ def _similarity(label: str, kind: str, sql: str | None):
 
 _similarity("jaro_winkler", "jaro_winkler", f"SELECT a, b, round(jaro_winkler_similarity(a, b), 6) AS score FROM ({_NAMES})")
 for _label, _kind in (("indel_ratio", "ratio"), ("token_sort", "token_sort"), ("token_set", "token_set"), ("partial", "partial"), ("weighted", "weighted")):
-    _similarity(_label, _kind, None)
+    _similarity(_label, _kind, O.similarity(_kind, _NAMES))
 
 
 # -- features --------------------------------------------------------------------------------------------------------------------------------------
@@ -381,7 +457,7 @@ def equality_features(spark, sf):
 
 
 @query(f"""WITH {O.PAIRS} SELECT s1_idx, cand_idx, CAST(len(a.name_tokens) AS INTEGER) AS ntok_len1, CAST(len(b.name_tokens) AS INTEGER) AS ntok_len2, CAST(length(a.name_compact) AS INTEGER) AS nc_len1,
-  CAST(length(b.name_compact) AS INTEGER) AS nc_len2, CAST(len(b.addr_tokens) AS INTEGER) AS atok_len2, 0 AS cand_nonlatin, regexp_matches(b.business_name, '(?i)(www\\.|\\.(com|net|org|co\\.in|in|fr)\\b)')::INTEGER AS cand_website,
+  CAST(length(b.name_compact) AS INTEGER) AS nc_len2, CAST(len(b.addr_tokens) AS INTEGER) AS atok_len2, regexp_matches(b.business_name, '{O.SCRIPTS}')::INTEGER AS cand_nonlatin, regexp_matches(b.business_name, '(?i)(www\\.|\\.(com|net|org|co\\.in|in|fr)\\b)')::INTEGER AS cand_website,
   a.addr_empty::INTEGER AS s1_addr_empty, b.addr_empty::INTEGER AS cand_addr_empty, (b.src = 3)::INTEGER AS cand_is_s3 FROM pt""")
 def size_and_flag_features(spark, sf):
     return _pairs(spark, sf).select("s1_idx", "cand_idx", *(c.alias(n) for n, c in P.size_and_flag_features().items()))
@@ -397,12 +473,12 @@ def missing_mask(spark, sf):
 
 
 _STAND_IN = """SELECT l_orderkey AS s1_idx, l_partkey AS cand_idx, floor(max(l_extendedprice))::DOUBLE AS blk_score, round(max(l_quantity) * 2, 0) AS nm_tset,
-  CASE WHEN max(l_linenumber) % 3 <> 0 THEN round(max(l_discount) * 1000, 0) END AS ad_tset FROM lineitem GROUP BY 1, 2"""
+  CASE WHEN max(l_linenumber) % 3 <> 0 THEN round(max(l_discount) * 1000, 0) END AS ad_tset, max(l_suppkey) % 101 AS nc_ratio FROM lineitem GROUP BY 1, 2"""
 
 
 def _stand_in(spark, sf):
     lines = spark.read.parquet(f"{sf}/lineitem.parquet").groupBy(F.col("l_orderkey").alias("s1_idx"), F.col("l_partkey").alias("cand_idx"))
-    return lines.agg(F.floor(F.max("l_extendedprice")).cast("double").alias("blk_score"), _r(F.max("l_quantity") * 2, 0).alias("nm_tset"), F.when(F.max("l_linenumber") % 3 != 0, _r(F.max("l_discount") * 1000, 0)).alias("ad_tset"))
+    return lines.agg(F.floor(F.max("l_extendedprice")).cast("double").alias("blk_score"), _r(F.max("l_quantity") * 2, 0).alias("nm_tset"), F.when(F.max("l_linenumber") % 3 != 0, _r(F.max("l_discount") * 1000, 0)).alias("ad_tset"), (F.max("l_suppkey") % 101).alias("nc_ratio"))
 
 
 @query(f"""WITH c AS ({_STAND_IN}) SELECT s1_idx, cand_idx, count(*) OVER (PARTITION BY cand_idx) AS cx_cand_n_s1, CAST(row_number() OVER (PARTITION BY cand_idx ORDER BY blk_score DESC, s1_idx) AS INTEGER) AS cx_cand_rank,
@@ -416,7 +492,7 @@ def _gap(c: str) -> str:
     return f"round({c} - max({c}) OVER (PARTITION BY s1_idx), 6) AS cx_{c}_gap, CASE WHEN {c} IS NOT NULL THEN CAST(rank() OVER (PARTITION BY s1_idx ORDER BY {c} DESC NULLS LAST) AS DOUBLE) END AS cx_{c}_rank"
 
 
-@query(f"""WITH c AS ({_STAND_IN}) SELECT s1_idx, cand_idx, {_gap('blk_score')}, {_gap('nm_tset')}, {_gap('ad_tset')},
+@query(f"""WITH c AS ({_STAND_IN}) SELECT s1_idx, cand_idx, {_gap('blk_score')}, {_gap('nm_tset')}, {_gap('nc_ratio')}, {_gap('ad_tset')},
   CAST(sum((nm_tset >= 90)::INTEGER) OVER (PARTITION BY s1_idx) AS BIGINT) AS cx_s1_n_strong_name,
   CAST(sum((nm_tset >= 90 AND coalesce(ad_tset, 0) >= 80)::INTEGER) OVER (PARTITION BY s1_idx) AS BIGINT) AS cx_s1_n_strong_both FROM c""")
 def ctx_s1(spark, sf):
@@ -427,6 +503,46 @@ def ctx_s1(spark, sf):
 # -- decisions --------------------------------------------------------------------------------------------------------------------------------------
 
 
+@query(f"""WITH {O.RECORDS}, {O.TWO_SCRIPTS} SELECT a.idx AS s1_idx, b.idx AS cand_idx, regexp_matches(b.business_name, '{O.SCRIPTS}')::INTEGER AS cand_nonlatin
+  FROM two a JOIN two b ON b.idx = a.idx + 1""")
+def flag_cand_nonlatin(spark, sf):
+    records = normalize(world.two_scripts(spark, sf))
+    pairs = records.select(F.col("idx").alias("s1_idx"), (F.col("idx") + 1).alias("cand_idx"))
+    found = P.pair_table(pairs, records).filter("name_nonlatin_2 IS NOT NULL")
+    return found.select("s1_idx", "cand_idx", P.size_and_flag_features()["cand_nonlatin"].alias("cand_nonlatin"))
+
+
+@query("""SELECT l_orderkey AS s1_idx, l_linenumber AS cand_idx, """ + ", ".join(f"CASE WHEN l_linenumber % 3 <> 0 AND l_partkey % 4 <> 0 THEN {v} END AS {c}" for c, v in (("ad_ratio", "l_quantity::DOUBLE"), ("ad_tset", "l_tax::DOUBLE"), ("ad_partial", "l_discount::DOUBLE"), ("ad_tsort", "l_suppkey::DOUBLE"))) + """, l_partkey AS other FROM lineitem""")
+def missing_mask_strings(spark, sf):
+    rows = spark.read.parquet(f"{sf}/lineitem.parquet").select(
+        F.col("l_orderkey").alias("s1_idx"), F.col("l_linenumber").alias("cand_idx"), *(F.col(v).cast("double").alias(c) for c, v in (("ad_ratio", "l_quantity"), ("ad_tset", "l_tax"), ("ad_partial", "l_discount"), ("ad_tsort", "l_suppkey"))),
+        F.col("l_partkey").alias("other"), (F.col("l_linenumber") % 3 == 0).cast("int").alias("s1_addr_empty"), (F.col("l_partkey") % 4 == 0).cast("int").alias("cand_addr_empty"),
+    )
+    return P.mask_missing_address(rows).drop("s1_addr_empty", "cand_addr_empty")
+
+
+@query(f"""WITH c AS ({_STAND_IN}), w AS (SELECT s1_idx, cand_idx, count(*) OVER (PARTITION BY cand_idx) AS cx_cand_n_s1, round(blk_score - max(blk_score) OVER (PARTITION BY cand_idx), 6) AS cx_cand_gap FROM c)
+SELECT * FROM w WHERE {O.bucket('s1_idx', 3)} < 3000""")
+def ctx_kept_subset(spark, sf):
+    pairs = _stand_in(spark, sf)
+    keep = pairs.select("s1_idx").distinct().filter(sampling.sampled(F.col("s1_idx"), 0.3, 3))
+    return P.kept_context(pairs, keep).select("s1_idx", "cand_idx", "cx_cand_n_s1", _r("cx_cand_gap").alias("cx_cand_gap"))
+
+
+@query(f"""WITH {O.SCORED}, c AS ({_STAND_IN}) SELECT c.s1_idx, c.cand_idx, CASE WHEN t.s1_idx IS NULL THEN 0 ELSE 1 END AS label, CASE WHEN {O.bucket('c.s1_idx', 13)} < 2000 THEN 'val' ELSE 'fit' END AS fold
+  FROM c LEFT JOIN (SELECT DISTINCT s1_idx, cand_idx FROM scored WHERE label = 1 AND cand_idx % 3 <> 0) t ON c.s1_idx = t.s1_idx AND c.cand_idx = t.cand_idx""")
+def label_fold_attach(spark, sf):
+    truth = world.scored(spark, sf).filter("label = 1 AND cand_idx % 3 <> 0")
+    meta = spark.read.parquet(f"{sf}/orders.parquet").select(F.col("o_orderkey").alias("s1_idx"), sampling.fold_of(F.col("o_orderkey")).alias("fold"))
+    return P.with_labels(_stand_in(spark, sf).select("s1_idx", "cand_idx"), truth.unionByName(truth), meta)
+
+
+@query(f"WITH c AS ({_STAND_IN}) SELECT s1_idx, cand_idx, nm_tset AS v_nm_tset, coalesce(ad_tset, -1) AS v_ad_tset, 0.0::DOUBLE AS m_nm_tset, (ad_tset IS NULL)::INTEGER::DOUBLE AS m_ad_tset FROM c")
+def matrix_columns(spark, sf):
+    rows, inputs = matcher.with_vector_inputs(_stand_in(spark, sf), ["nm_tset", "ad_tset"])
+    return rows.select("s1_idx", "cand_idx", *(F.col(c).cast("double").alias(c) for c in inputs))
+
+
 @query(f"WITH {O.SCORED} SELECT s1_idx, cand_idx, round((p / greatest(1 - p, 1e-9) * 0.25) / (1 + p / greatest(1 - p, 1e-9) * 0.25), 6) AS p FROM scored")
 def calibrate_probs(spark, sf):
     return world.scored(spark, sf).select("s1_idx", "cand_idx", _r(matcher.correct_probability(F.col("p"), 0.25)).alias("p"))
@@ -513,14 +629,22 @@ v AS (SELECT 'duplicate_row' AS rule, id FROM l GROUP BY id HAVING count(*) > 1
   UNION SELECT 'missing_row', id FROM q WHERE id NOT IN (SELECT id FROM l)
   UNION SELECT 'extra_row', id FROM l WHERE id NOT IN (SELECT id FROM q)
   UNION SELECT 'unknown_id', item FROM i WHERE regexp_matches(item, '^S[23]-') AND item NOT IN (SELECT 'S2-' || s_suppkey FROM supplier))
-SELECT rule, count(*) AS n, min(id) AS first FROM v GROUP BY rule""")
+SELECT rule, count(*) AS n, array_to_string(list_slice(list_sort(list(id)), 1, 5), ',') AS examples FROM v GROUP BY rule""")
 def validate_lists(spark, sf):
     k = F.col("event_id")
     part = lambda p, n: F.concat(F.lit(p), (k % n).cast("string"))
     lists = spark.read.parquet(f"{sf}/events.parquet").select(F.col("user_id").cast("string").alias("id"), F.concat(part("S", 5), part("-", 7), part(",S2-", 3)).alias("list"))
     required = spark.read.parquet(f"{sf}/customer.parquet").select(F.col("c_custkey").cast("string").alias("id"))
     valid = spark.read.parquet(f"{sf}/supplier.parquet").select(F.concat(F.lit("S2-"), F.col("s_suppkey").cast("string")).alias("id"))
-    return E.violations(lists, required, valid)
+    return E.violations(lists, required, valid).select("rule", "n", F.array_join("examples", ",").alias("examples"))
+
+
+@query(f"""WITH {O.SCORED}, m AS (SELECT s1_idx, cand_idx FROM scored WHERE p >= 0.7), c AS (SELECT s1_idx, cand_idx FROM scored WHERE label = 1)
+SELECT CAST(s1_idx AS VARCHAR) AS id, string_agg(CAST(cand_idx AS VARCHAR), ',' ORDER BY CAST(cand_idx AS VARCHAR)) AS ids FROM m
+WHERE NOT EXISTS (SELECT 1 FROM c WHERE c.s1_idx = m.s1_idx AND c.cand_idx = m.cand_idx) GROUP BY s1_idx""")
+def matches_outside_candidates(spark, sf):
+    matches, candidates = _lists(spark, sf)
+    return E.not_candidates(matches, candidates).select("id", F.array_join(F.array_sort("ids"), ",").alias("ids"))
 
 
 @query(f"""WITH {O.SCORED} SELECT s1_idx, cand_idx, round(p, 6) AS p, a.c_name AS name_1, b.c_name AS name_2 FROM (SELECT * FROM owned WHERE p >= 0.7 AND label = 0 ORDER BY p DESC, s1_idx, cand_idx LIMIT 50)

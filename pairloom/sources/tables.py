@@ -3,9 +3,8 @@
 from __future__ import annotations
 
 import json
-from pathlib import Path
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -75,20 +74,62 @@ def id_lists(ids: DataFrame, groups: DataFrame, key: str, value: str, order: str
 
 
 def write_tsv(table: DataFrame, path: str) -> None:
-    """A folder of unquoted TSV files with headers."""
+    """A folder of unquoted TSV files with headers, which read_id_lists() and the validator read."""
     table.write.mode("overwrite").csv(path, sep="\t", header=True, quote="", emptyValue="", nullValue="")
 
 
+def read_lines(spark: SparkSession, path: str) -> DataFrame:
+    """(value, place): the lines of a text file or folder, without the header of each file. place orders them as they are written."""
+    rows = spark.read.csv(path, sep="\u0001", header=True, quote="", schema="value string", enforceSchema=True)
+    # within a split lines are numbered in order; splits are ordered by file and offset
+    return rows.select("value", F.struct("_metadata.file_path", "_metadata.file_block_start", F.monotonically_increasing_id().alias("line")).alias("place"))
+
+
+def split_line() -> tuple[Column, Column]:
+    """What is before the first tab of `value`, and what is after it (null without a tab)."""
+    cut = F.instr("value", "\t")
+    rest = F.when(cut > 0, F.expr("substring(value, instr(value, '\t') + 1)"))
+    return F.when(cut > 0, F.expr("substring(value, 1, instr(value, '\t') - 1)")).otherwise(F.col("value")), rest
+
+
 def read_id_lists(spark: SparkSession, path: str) -> DataFrame:
-    """(id, ids) of an id-list file; a repeated id counts once, with the last of its lists by text; short rows have no ids."""
-    rows = spark.read.csv(path, sep="\t", header=True, quote="", schema=_STRINGS(["id", "list"]), mode="PERMISSIVE")
-    last = rows.filter("id IS NOT NULL").groupBy("id").agg(F.max(F.coalesce("list", F.lit(""))).alias("list"))
+    """(id, ids) of an id-list file or folder; of the rows of an id the last one counts; rows without a tab have no ids."""
+    key, rest = split_line()
+    rows = read_lines(spark, path).select(F.trim(key).alias("id"), F.coalesce(rest, F.lit("")).alias("list"), "place").filter("id <> ''")
+    last = rows.groupBy("id").agg(F.max_by("list", "place").alias("list"))
     return last.select("id", F.array_distinct(F.filter(F.transform(F.split("list", ","), lambda x: F.trim(x)), lambda x: x != "")).alias("ids"))
 
 
-def save_json(value, path: str) -> None:
-    Path(path).write_text(json.dumps(value, ensure_ascii=False, indent=1), encoding="utf-8")
+def _path(spark: SparkSession, path: str):
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return where, where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    where, files = _path(spark, path)
+    return files.exists(where)
+
+
+def first_lines(spark: SparkSession, path: str) -> list[str | None]:
+    """The first line of a file, or of each data file of a folder, on any file system; None for an empty file."""
+    where, files = _path(spark, path)
+    found = []
+    for status in sorted(files.listStatus(where), key=lambda s: s.getPath().toString()):
+        if status.isFile() and not status.getPath().getName().startswith(("_", ".")):
+            jvm = spark.sparkContext._jvm
+            reader = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(files.open(status.getPath()), "UTF-8"))
+            found.append(reader.readLine())
+            reader.close()
+    return found
+
+
+def save_json(spark: SparkSession, value, path: str) -> None:
+    """A small JSON file on any file system that Spark reaches."""
+    where, files = _path(spark, path)
+    out = files.create(where, True)
+    out.write(bytearray(json.dumps(value, ensure_ascii=False, indent=1).encode()))
+    out.close()
 
 
-def load_json(path: str):
-    return json.loads(Path(path).read_text(encoding="utf-8"))
+def load_json(spark: SparkSession, path: str):
+    return json.loads(spark.read.text(path, wholetext=True).first().value)

@@ -93,3 +93,18 @@ def with_noisy_copies(base: DataFrame) -> tuple[DataFrame, DataFrame]:
     made = copies.select((F.col("idx") * 10 + F.col("i") + 10_000_000_000).alias("idx"), F.concat(F.lit("S"), src.cast("string"), F.lit("-x"), F.col("idx").cast("string"), F.lit("-"), F.col("i").cast("string")).alias("entity_id"), src.alias("src"), "country", name.alias("business_name"), address.alias("business_address"), F.col("idx").alias("s1_idx"))
     pairs = made.select("s1_idx", F.col("idx").alias("cand_idx"))
     return base.unionByName(made.drop("s1_idx")), pairs
+
+
+#: Letters of another script that stand for Latin ones, and what their Unicode names say; for tables of names in two scripts.
+CYRILLIC = {"a": ("а", "a"), "e": ("е", "ie"), "i": ("и", "i"), "o": ("о", "o"), "s": ("с", "es"), "t": ("т", "te"), "n": ("н", "en"), "r": ("р", "er")}
+
+
+def cyrillic(names):
+    """A column with the letters of CYRILLIC put for theirs."""
+    return F.translate(names, "".join(CYRILLIC), "".join(c for c, _ in CYRILLIC.values()))
+
+
+def two_scripts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """records() whose names in source 3 are in Cyrillic letters, as far as there are some, and their plain names as latin."""
+    base = records(spark, sf_dir).withColumn("latin", F.lower("business_name"))
+    return base.withColumn("business_name", F.when(F.col("src") == 3, cyrillic(F.col("latin"))).otherwise(F.col("latin")))

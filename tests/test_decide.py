@@ -66,5 +66,5 @@ def test_validate(spark, tmp_path):
     for rule in ("duplicate_row", "repeated_id", "self_match", "wrong_prefix", "missing_row: 2", "extra_row", "malformed_row: 1"):
         assert rule in report
     path.write_text("a,b\n")
-    assert E.header_errors(str(path), head) == ["comma_separated"]
-    assert E.header_errors(str(tmp_path / "none"), head) == ["missing_file"]
+    assert E.header_errors(spark, str(path), head) == ["comma_separated"]
+    assert E.header_errors(spark, str(tmp_path / "none"), head) == ["missing_file"]

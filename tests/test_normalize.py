@@ -2,7 +2,8 @@ import pytest
 
 from pairloom.functions.romanize import romanize_text
 from pairloom.operators.normalize import normalize
-from pairloom.operators.translit import as_map, learn_dictionary
+from pairloom.operators import translit
+from pairloom.operators.translit import learn_dictionary
 
 ROWS = [
     (1, "Green Leaf.com", "12 Long Street, Springfield"),
@@ -58,11 +59,24 @@ def test_dictionary(spark):
     learned = learn_dictionary(spark.createDataFrame(rows, "n1 string, n2 string"))
     assert {(r.word, r.latin) for r in learned.collect()} == {("प्राइवेट", "private"), ("हरा", "green")}
     df = spark.createDataFrame([(1, "हरा प्राइवेट", "")], "idx int, business_name string, business_address string")
-    row = normalize(df, as_map(learned)).first()
-    assert row.name_nonlatin and row.name_tokens == ["green"] and row.legal_form == "pvt"
+    for known in (translit.transliterated(df, learned), translit.joined(df, learned)):
+        row = normalize(known).first()
+        assert row.name_nonlatin and row.name_tokens == ["green"] and row.legal_form == "pvt"
+
+
+def test_large_dictionaries_are_joined(spark, monkeypatch):
+    rows = [(1, "हरा  प्राइवेट", ""), (2, "Plain Name", ""), (3, None, ""), (4, "हरा", ""), (5, "", "")]
+    df = spark.createDataFrame(rows, "idx int, business_name string, business_address string")
+    learned = spark.createDataFrame([("हरा", "green"), ("plain", "never")], "word string, latin string")
+    small = sorted(map(tuple, translit.transliterated(df, learned).select("idx", "latin_name").collect()))
+    assert small == [(1, "green प्राइवेट"), (2, "plain name"), (3, ""), (4, "green"), (5, "")]
+    monkeypatch.setattr(translit, "MOST_WORDS", 1)
+    assert sorted(map(tuple, translit.transliterated(df, learned).select("idx", "latin_name").collect())) == small
+    with pytest.raises(ValueError):
+        translit.lookup(learned)
 
 
 def test_romanize():
     assert romanize_text("plain") == "plain" and romanize_text(None) is None
     assert romanize_text("Москва").isascii() and romanize_text("राम") == "raama"
-    assert romanize_text("é") == "e"
+    assert romanize_text("é") == "e" and romanize_text("œuf ß") == "oeuf ss"
