@@ -9,8 +9,10 @@ A source with target t and size s gives floor(t / s) whole repetitions of each o
 from documents in the order of a seeded hash, until its words are used up; the document at the end gives a part of its words.
 
 For scale, a source's documents are dealt to BUCKETS buckets by hash. Sizes are summed by (source, bucket) before any shuffle
-carries them, a source's budget is dealt to buckets by a prefix sum over those sums, and documents join by (source, bucket).
-So a source with a third of all rows is spread over all tasks, and no task gathers one source.
+carries them. A prefix sum over those sums gives each source its edge: buckets before it are taken whole for the fraction, buckets after it
+not at all. So one row per source says what nearly all documents need; only the documents of the edge buckets (a source's rows
+divided by BUCKETS) are shuffled, to be put in order. The documents themselves stay where they are. Texts are split into
+words twice, once for the sums and once for the result, and once where sizes are given.
 
 Defined results. Null text has no words: size 0, taken 0. A null source is a source of its own, the last one. A null doc_id is
 hashed as the text 'null'. Equal rows are taken each on its own. An empty table gives an empty table. Input columns named as one of
@@ -22,7 +24,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from pairloom.llm.common import SPACES
+from pairloom.llm.common import SPACES, discard, stash
 
 #: Buckets by hash inside a source: the rows of a bucket are ordered in one task, the buckets of a source in another one.
 HEX_DIGITS = 3
@@ -68,18 +70,21 @@ def water_fill(sources: DataFrame, max_epochs: int = MAX_EPOCHS) -> DataFrame:
     )
 
 
-def mix_sources(docs: DataFrame, max_epochs: int = MAX_EPOCHS, seed: int = SEED, weights: DataFrame | None = None) -> DataFrame:
+def mix_sources(docs: DataFrame, max_epochs: int = MAX_EPOCHS, seed: int = SEED, weights: DataFrame | None = None, sizes: str | None = None) -> DataFrame:
     """All rows of `docs` (doc_id, text, source and any other columns) with size, source_size, weight, target and taken.
 
     weights: (source, weight) with positive whole weights; sources that it misses get 1. By default 1, 2, 3, repeating.
+    sizes: a column of `docs` that holds the sizes; the text is not needed then.
     """
-    docs = docs.drop(*ADDED)
+    size = n_words(F.col("text")) if sizes is None else F.col(sizes)
+    kept = [c for c in docs.columns if c not in ADDED]
     digest = F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col("doc_id").cast("string"), F.lit("null"))))
-    # _src stands for source and is never null, so the join below and the window after it share one shuffle of the rows.
+    # _src stands for source and is never null.
     stand_in = F.coalesce(F.concat(F.lit("="), F.col("source").cast("string")), F.lit("null"))
-    sized = docs.withColumns({"size": n_words(F.col("text")), "_hash": digest, "_src": stand_in}).withColumn("_bucket", F.substring("_hash", 1, HEX_DIGITS))
+    packed = docs.select(F.struct(*kept).alias("_row"), size.alias("size"), digest.alias("_hash"), stand_in.alias("_src"))
+    sized = packed.withColumn("_bucket", F.substring("_hash", 1, HEX_DIGITS))
 
-    sums = sized.groupBy("_src", "_bucket").agg(F.sum("size").alias("_words"), F.first("source").alias("source"))
+    sums = stash(sized.groupBy("_src", "_bucket").agg(F.sum("size").alias("_words"), F.first("_row.source").alias("source")), "sums")
     sources = sums.groupBy("_src").agg(F.sum("_words").alias("source_size"), F.first("source").alias("source"))
     order = Window.orderBy(F.col("source").asc_nulls_last())
     sources = sources.withColumn("rank", F.row_number().over(order))
@@ -92,13 +97,20 @@ def mix_sources(docs: DataFrame, max_epochs: int = MAX_EPOCHS, seed: int = SEED,
     targets = targets.withColumn("_part", F.round("target").cast("long") - F.col("_whole") * F.col("source_size")).drop("rank", "source")
 
     earlier = Window.partitionBy("_src").orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
-    plan = sums.select("_src", "_bucket", "_words").join(targets, "_src")
-    plan = plan.withColumn("_left", F.col("_part") - F.coalesce(F.sum("_words").over(earlier), F.lit(0))).drop("_words", "_part")
-    joined = sized.join(plan, ["_src", "_bucket"])
-    inside = Window.partitionBy("_src", "_bucket").orderBy("_hash", "doc_id", "size").rowsBetween(Window.unboundedPreceding, -1)
-    left = F.col("_left") - F.coalesce(F.sum("size").over(inside), F.lit(0))
-    part = F.greatest(F.lit(0), F.least(left, F.col("size")))
-    return joined.withColumn("taken", (F.col("_whole") * F.col("size") + part).cast("long")).select(*docs.columns, *ADDED)
+    left = F.col("_part") - F.coalesce(F.sum("_words").over(earlier), F.lit(0))
+    buckets = sums.select("_src", "_bucket", "_words").join(targets.select("_src", "_part"), "_src").withColumn("_left", left)
+    edges = buckets.groupBy("_src").agg(F.min(F.when(F.col("_left") < F.col("_words"), F.struct("_bucket", "_left"))).alias("_edge"))
+    # One row per source, a table of its own: its size is known when the join below is planned.
+    plan = stash(targets.drop("_part").join(edges, "_src"), "plan")
+    discard(sums)
+    joined = sized.join(plan, "_src")
+    before = F.col("_edge").isNull() | (F.col("_bucket") < F.col("_edge._bucket"))
+    plain = joined.filter(F.col("_edge").isNull() | (F.col("_bucket") != F.col("_edge._bucket"))).withColumn("_part", F.when(before, F.col("size")).otherwise(0))
+    inside = Window.partitionBy("_src").orderBy("_hash", "_row.doc_id", "size").rowsBetween(Window.unboundedPreceding, -1)
+    rest = F.col("_edge._left") - F.coalesce(F.sum("size").over(inside), F.lit(0))
+    edge = joined.filter(F.col("_bucket") == F.col("_edge._bucket")).withColumn("_part", F.greatest(F.lit(0), F.least(rest, F.col("size"))))
+    both = plain.unionByName(edge).withColumn("taken", (F.col("_whole") * F.col("size") + F.col("_part")).cast("long"))
+    return both.select("_row.*", *ADDED)
 
 
 def mixed_documents(docs: DataFrame, **options) -> DataFrame:
@@ -114,8 +126,9 @@ def mixed_documents(docs: DataFrame, **options) -> DataFrame:
 
 def query(spark, sf_dir: str) -> DataFrame:
     """op1: the mix of all documents."""
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "source", "text")
-    return mix_sources(docs).select("doc_id", "size", "source_size", "target", "taken")
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    sized = stash(docs.select("doc_id", "source", n_words(F.col("text")).alias("n")), "sizes")
+    return mix_sources(sized, sizes="n").select("doc_id", "size", "source_size", "target", "taken")
 
 
 ORACLE = f"""

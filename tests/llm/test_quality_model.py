@@ -1,5 +1,9 @@
+import math
+import unicodedata
+
 import numpy as np
 import pytest
+import regex
 from pyspark.sql import functions as F
 
 from pairloom.llm import quality_model as Q
@@ -50,3 +54,42 @@ def test_repeated_rows_crowd_out_no_other(spark, sf_dir):
     again = docs.filter(F.col("doc_id") == own).crossJoin(spark.range(150)).drop("id")
     expected = Q.fit(docs, labels, sample=60)
     assert expected[1] and Q.fit(again.unionByName(docs).coalesce(1), labels, sample=60) == expected
+
+
+def slow_statistics(text):
+    """The statistics of a text, letter by letter and word by word."""
+    text = text or ""
+    words = [w for w in regex.split(r"[\x20\x09-\x0D]+", text) if w]
+    lines = [x for x in text.split("\n") if x.strip(" ")]
+    repeats, spans = 0, [(m.start(), m.end()) for m in regex.finditer(r"\S+", text, regex.ASCII)]
+    for (a, b), (c, d) in zip(spans, spans[1:]):
+        repeats += (b - a) * (text[a:b] == text[c:d])
+    n = {
+        "chars": len(text), "words": len(words), "distinct_words": len(set(words)), "lines": len(lines), "distinct_lines": len(set(lines)),
+        "upper": sum(unicodedata.category(c) == "Lu" for c in text), "letters": sum(unicodedata.category(c)[0] == "L" for c in text),
+        "digits": sum(c in "0123456789" for c in text), "marks": sum(c in "#*$%&|<>!=_~^\\{}[]@+/" for c in text), "stops": sum(c in ".,;:?" for c in text), "repeats": repeats,
+    }
+    per = lambda a, b: n[a] / max(n[b], 1)
+    return {
+        "log_words": math.log1p(n["words"]), "distinct_share": per("distinct_words", "words"), "word_length": per("letters", "words"), "upper_share": per("upper", "letters"),
+        "letter_share": per("letters", "chars"), "digit_share": per("digits", "chars"), "mark_share": per("marks", "chars"), "marks_per_word": per("marks", "words"),
+        "stops_per_word": per("stops", "words"), "line_repeats": 1 - per("distinct_lines", "lines"), "words_per_line": per("words", "lines"), "repeat_share": per("repeats", "chars"),
+    }
+
+
+def slow_score(text, model):
+    intercept, rules = model
+    s = slow_statistics(text)
+    total = intercept + sum(w for rule, w in rules if all((s[n] > c) if greater else (s[n] <= c) for n, greater, c in rule))
+    return 1 / (1 + math.exp(-total))
+
+
+def test_scores_against_brute_force(spark, docs):
+    """Every document of the smallest data, and the edge rows, scored by the rules in plain Python."""
+    sf = "/root/testdata/sf0.001"
+    documents = spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text")
+    model = Q.fit(documents, spark.read.parquet(f"{sf}/labels.parquet"))
+    assert model[1]
+    for table in (documents, docs.select("doc_id", "text")):
+        for r in Q.score(table, model).collect():
+            assert r.score == pytest.approx(slow_score(r.text, model), abs=1e-9) and r.predicted == int(r.score >= 0.3)
