@@ -76,15 +76,14 @@ def mix_sources(docs: DataFrame, max_epochs: int = MAX_EPOCHS, seed: int = SEED,
     weights: (source, weight) with positive whole weights; sources that it misses get 1. By default 1, 2, 3, repeating.
     sizes: a column of `docs` that holds the sizes; the text is not needed then.
     """
-    size = n_words(F.col("text")) if sizes is None else F.col(sizes)
+    size = n_words(F.col("_row.text")) if sizes is None else F.col(f"_row.{sizes}")
     kept = [c for c in docs.columns if c not in ADDED]
     digest = F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col("doc_id").cast("string"), F.lit("null"))))
     # _src stands for source and is never null.
     stand_in = F.coalesce(F.concat(F.lit("="), F.col("source").cast("string")), F.lit("null"))
-    packed = docs.select(F.struct(*kept).alias("_row"), size.alias("size"), digest.alias("_hash"), stand_in.alias("_src"))
-    sized = packed.withColumn("_bucket", F.substring("_hash", 1, HEX_DIGITS))
+    rows = docs.select(F.struct(*kept).alias("_row"), digest.alias("_hash"), stand_in.alias("_src")).withColumn("_bucket", F.substring("_hash", 1, HEX_DIGITS))
 
-    sums = stash(sized.groupBy("_src", "_bucket").agg(F.sum("size").alias("_words"), F.first("_row.source").alias("source")), "sums")
+    sums = stash(rows.groupBy("_src", "_bucket").agg(F.sum(size).alias("_words"), F.first("_row.source").alias("source")), "sums")
     sources = sums.groupBy("_src").agg(F.sum("_words").alias("source_size"), F.first("source").alias("source"))
     order = Window.orderBy(F.col("source").asc_nulls_last())
     sources = sources.withColumn("rank", F.row_number().over(order))
@@ -103,12 +102,14 @@ def mix_sources(docs: DataFrame, max_epochs: int = MAX_EPOCHS, seed: int = SEED,
     # One row per source, a table of its own: its size is known when the join below is planned.
     plan = stash(targets.drop("_part").join(edges, "_src"), "plan")
     discard(sums)
-    joined = sized.join(plan, "_src")
+    # Texts are split after the joins, so that those of the second one are only the edge buckets'.
+    joined = rows.join(plan, "_src")
     before = F.col("_edge").isNull() | (F.col("_bucket") < F.col("_edge._bucket"))
-    plain = joined.filter(F.col("_edge").isNull() | (F.col("_bucket") != F.col("_edge._bucket"))).withColumn("_part", F.when(before, F.col("size")).otherwise(0))
+    plain = joined.filter(F.col("_edge").isNull() | (F.col("_bucket") != F.col("_edge._bucket"))).withColumn("size", size)
+    plain = plain.withColumn("_part", F.when(before, F.col("size")).otherwise(0))
     inside = Window.partitionBy("_src").orderBy("_hash", "_row.doc_id", "size").rowsBetween(Window.unboundedPreceding, -1)
     rest = F.col("_edge._left") - F.coalesce(F.sum("size").over(inside), F.lit(0))
-    edge = joined.filter(F.col("_bucket") == F.col("_edge._bucket")).withColumn("_part", F.greatest(F.lit(0), F.least(rest, F.col("size"))))
+    edge = joined.filter(F.col("_bucket") == F.col("_edge._bucket")).withColumn("size", size).withColumn("_part", F.greatest(F.lit(0), F.least(rest, F.col("size"))))
     both = plain.unionByName(edge).withColumn("taken", (F.col("_whole") * F.col("size") + F.col("_part")).cast("long"))
     return both.select("_row.*", *ADDED)
 
@@ -119,9 +120,11 @@ def mixed_documents(docs: DataFrame, **options) -> DataFrame:
     A row that the mix takes less than half of is not in it. Rows without words are never taken.
     """
     packed = docs.select("doc_id", "source", "text", F.struct(*docs.columns).alias("_row"))
-    taken = mix_sources(packed, **options).filter("size > 0")
-    copies = F.round(F.col("taken") / F.col("size")).cast("int")
-    return taken.filter(copies > 0).select("_row", F.explode(F.sequence(F.lit(1), copies)).alias("_copy")).select("_row.*")
+    taken = mix_sources(packed, **options)
+    copies = F.round(F.col("taken") / F.greatest("size", F.lit(1))).cast("int")
+    # explode_outer: below a plain explode the optimizer puts a filter, which would split every text once more
+    each = F.explode_outer(F.when(copies > 0, F.sequence(F.lit(1), copies)))
+    return taken.select("_row", each.alias("_copy")).filter("_copy IS NOT NULL").select("_row.*")
 
 
 def query(spark, sf_dir: str) -> DataFrame:
