@@ -34,27 +34,26 @@ PENALTIES = (0.02, 0.01, 0.005, 0.002, 0.001)
 ACCEPT = 0.3
 FOLDS = 5
 
+COUNTS = ("chars", "words", "distinct_words", "lines", "distinct_lines", "upper", "letters", "digits", "marks", "stops", "repeats")
 Rule = tuple[tuple[str, bool, float], ...]  # (statistic, greater, cut), all of them to hold
 
 
-def statistics(text: Column) -> dict[str, Column]:
-    """First-level counts of a text; ratios() makes the statistics of them."""
-    text = F.coalesce(text, F.lit(""))
-    words = F.filter(F.split(text, SPACES), lambda w: w != "")
-    lines = F.filter(F.split(text, "\n"), lambda x: F.trim(x) != "")
-    left = lambda pattern: F.length(F.regexp_replace(text, pattern, ""))
+def statistics(text: Column, words: Column, lines: Column) -> dict[str, Column]:
+    """First-level counts of a text, its words and its lines; ratios() makes the statistics of them."""
+    count = lambda pattern: F.regexp_count(text, F.lit(pattern))
+    again = F.zip_with(words, F.slice(words, 2, F.greatest(F.size(words), F.lit(1))), lambda a, b: F.when(a == b, F.length(a)).otherwise(0))
     return {
         "chars": F.length(text),
         "words": F.size(words),
         "distinct_words": F.size(F.array_distinct(words)),
         "lines": F.size(lines),
         "distinct_lines": F.size(F.array_distinct(lines)),
-        "upper": left(r"[^\p{Lu}]+"),
-        "letters": left(r"[^\p{L}]+"),
-        "digits": left(r"[^0-9]+"),
-        "marks": left(r"[^#*$%&|<>!=_~^\\{}\[\]@+/]+"),
-        "stops": left(r"[^.,;:?]+"),
-        "repeats": F.length(text) - F.length(F.regexp_replace(text, r"(?<!\S)(\S+)(?=\s+\1(?!\S))", "")),
+        "upper": count(r"\p{Lu}"),
+        "letters": F.length(F.regexp_replace(text, r"[^\p{L}]+", "")),
+        "digits": count("[0-9]"),
+        "marks": count(r"[#*$%&|<>!=_~^\\{}\[\]@+/]"),
+        "stops": count("[.,;:?]"),
+        "repeats": F.aggregate(again, F.lit(0), lambda s, x: s + x),
     }
 
 
@@ -79,9 +78,13 @@ def ratios(found: dict[str, Column]) -> dict[str, Column]:
 
 def with_statistics(docs: DataFrame) -> DataFrame:
     """`docs` with a struct `_s` of the statistics."""
-    first = docs.withColumn("_f", F.struct(*(c.alias(n) for n, c in statistics(F.col("text")).items())))
-    named = {n: F.col(f"_f.{n}") for n in statistics(F.lit(""))}
-    return first.withColumn("_s", F.struct(*(c.cast("double").alias(n) for n, c in ratios(named).items()))).drop("_f")
+    text = F.coalesce(F.col("text"), F.lit(""))
+    # Words and lines are columns of their own, so that what is made of them does not split the text again.
+    parts = F.struct(F.filter(F.split(text, SPACES), lambda w: w != "").alias("words"), F.filter(F.split(text, "\n"), lambda x: F.trim(x) != "").alias("lines"))
+    split = docs.withColumn("_p", parts)
+    first = split.withColumn("_f", F.struct(*(c.alias(n) for n, c in statistics(text, F.col("_p.words"), F.col("_p.lines")).items())))
+    named = {n: F.col(f"_f.{n}") for n in COUNTS}
+    return first.withColumn("_s", F.struct(*(c.cast("double").alias(n) for n, c in ratios(named).items()))).drop("_f", "_p")
 
 
 # -- learning, on the driver ----------------------------------------------------------------------------------------------------------------
@@ -192,7 +195,7 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> tuple[float
     chosen = chosen.groupBy(F.col("doc_id").alias("_id")).agg(F.min("quality").cast("double").alias("_y"))
     chosen = chosen.withColumn("_digest", F.md5(F.col("_id").cast("string"))).orderBy("_digest", "_id").limit(sample)
     rows = docs.select("doc_id", "text").join(F.broadcast(chosen), F.col("doc_id") == F.col("_id"))
-    names = list(ratios({n: F.lit(1) for n in statistics(F.lit(""))}))
+    names = list(ratios({n: F.lit(1) for n in COUNTS}))
     # Of the rows of a doc_id the one with the least statistics teaches, so `sample` bounds the rows.
     least = with_statistics(rows).groupBy("_id", "_digest", "_y").agg(F.min("_s").alias("_s"))
     table = least.select("_digest", "_y", *(F.col(f"_s.{n}").alias(n) for n in names)).toPandas().sort_values(["_digest", *names])
