@@ -28,7 +28,7 @@ def test_labels_of_the_held_out_fold_teach_nothing(spark, sf_dir):
 def test_compiled_rules_equal_numpy(spark, sf_dir):
     docs, labels = spark.read.parquet(f"{sf_dir}/documents.parquet"), spark.read.parquet(f"{sf_dir}/labels.parquet")
     intercept, rules = model = Q.fit(docs, labels)
-    names = list(Q.ratios({n: F.lit(1) for n in Q.statistics(F.lit(""))}))
+    names = list(Q.ratios({n: F.lit(1) for n in Q.COUNTS}))
     table = Q.with_statistics(docs).select("doc_id", *(F.col(f"_s.{n}").alias(n) for n in names)).toPandas().set_index("doc_id")
     z = Q.holds([r for r, _ in rules], table[names].to_numpy(float), names)
     expected = 1 / (1 + np.exp(-(intercept + z @ np.array([w for _, w in rules]))))
