@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import threading
 import uuid
 import weakref
 from collections.abc import Iterator
@@ -11,9 +12,12 @@ from contextlib import contextmanager
 from pyspark.sql import DataFrame, SparkSession
 
 #: For the time of the job that writes a table: its shuffle files are of no more use when it ends, so Spark removes them; and an
-#: Arrow batch, which the JVM, Python and what Python makes of it hold at once, has fewer bytes than Spark's 64 MB.
+#: Arrow batch, which the JVM, Python and what Python makes of it hold at once, has fewer bytes than Spark's default.
 _WHILE_WRITING = {"spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true", "spark.sql.execution.arrow.maxBytesPerBatch": "16m"}
+_DEFAULTS = {"spark.sql.classic.shuffleDependency.fileCleanup.enabled": "false", "spark.sql.execution.arrow.maxBytesPerBatch": "67108864b"}
 _paths: weakref.WeakKeyDictionary[DataFrame, str] = weakref.WeakKeyDictionary()
+_lock = threading.Lock()
+_writers: weakref.WeakKeyDictionary[SparkSession, int] = weakref.WeakKeyDictionary()
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -32,19 +36,21 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 @contextmanager
-def _settings(spark: SparkSession, values: dict[str, str]) -> Iterator[None]:
-    """Settings for the time of one eager job; the old ones come back."""
-    old = {key: spark.conf.get(key, None) for key in values}
-    for key, value in values.items():
-        spark.conf.set(key, value)
+def _while_writing(spark: SparkSession) -> Iterator[None]:
+    """The settings above, where the session has Spark's defaults; the last of several writers puts these back."""
+    with _lock:
+        _writers[spark] = _writers.get(spark, 0) + 1
+        for key, value in _WHILE_WRITING.items():
+            if spark.conf.get(key) == _DEFAULTS[key]:
+                spark.conf.set(key, value)
     try:
         yield
     finally:
-        for key, value in old.items():
-            if value is None:
-                spark.conf.unset(key)
-            else:
-                spark.conf.set(key, value)
+        with _lock:
+            _writers[spark] -= 1
+            for key, value in _WHILE_WRITING.items():
+                if not _writers[spark] and spark.conf.get(key) == value:
+                    spark.conf.unset(key)
 
 
 def _filesystem(spark: SparkSession, path: str):
@@ -60,7 +66,7 @@ def stash(df: DataFrame, name: str, partition_by: str | None = None) -> DataFram
     spark = df.sparkSession
     path = f"{shared_dir(spark).rstrip('/')}/pairloom/{name}-{uuid.uuid4().hex}"
     writer = df.write.option("compression", "zstd")
-    with _settings(spark, _WHILE_WRITING):
+    with _while_writing(spark):
         (writer.partitionBy(partition_by) if partition_by else writer).parquet(path)
     where, files = _filesystem(spark, path)
     files.deleteOnExit(where)

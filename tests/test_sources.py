@@ -1,5 +1,6 @@
 import os
 import zipfile
+from concurrent.futures import ThreadPoolExecutor
 
 import pytest
 from pyspark.sql import Window
@@ -70,6 +71,13 @@ def test_stash(spark):
     before = [spark.conf.get(k) for k in keys]
     made = stash(spark.range(10).repartition(3, "id"), "test")
     assert made.count() == 10 and [spark.conf.get(k) for k in keys] == before
+    spark.conf.set(keys[1], "1m")  # a setting of the session's own stays
+    discard(stash(spark.range(10), "test"))
+    assert spark.conf.get(keys[1]) == "1m"
+    spark.conf.unset(keys[1])
+    with ThreadPoolExecutor(4) as pool:
+        discard(*pool.map(lambda k: stash(spark.range(50).repartition(3), f"t{k}"), range(8)))
+    assert [spark.conf.get(k) for k in keys] == before
     path = made.inputFiles()[0].removeprefix("file:")
     assert os.path.exists(path)
     discard(made)
