@@ -108,3 +108,15 @@ def test_the_query_reads_by_select(docs, monkeypatch):
     import inspect
 
     assert "bounds.decode" not in inspect.getsource(tokens.read_documents) and "block.span" in inspect.getsource(tokens.read_documents)
+
+
+def test_long_texts_without_blanks(spark, reference):
+    """Units and documents of hundreds of thousands of characters, written and read back."""
+    rng = random.Random(9)
+    texts = ["日本語" * 60_000, "".join(rng.choices("abcdef0123456789", k=200_000)), "ab " * 150_000 + "é" * 50_000]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    ids = [[*reference.encode(t, add_special_tokens=False).ids, 2] for t in texts]
+    found = tokens.write_and_read(df, PATH).orderBy("doc_id").collect()
+    assert [(r.n_tokens, r.ids_crc32) for r in found] == [(len(x), zlib.crc32(np.array(x, "<u4").tobytes())) for x in ids]
+    counted = token_counts.count_tokens(df, PATH).orderBy("doc_id").collect()
+    assert [r.n_tokens for r in counted] == [len(x) - 1 for x in ids]
