@@ -127,6 +127,14 @@ def union_candidates(hits: DataFrame, scores: DataFrame, extra: DataFrame | None
     return ranked.filter((F.col("blk_rank") <= most) | F.col("from_extra")) if most > 0 else ranked
 
 
+def channel_overlap(scores: DataFrame, k: dict[str, int] = K) -> DataFrame:
+    """(in_name, in_addr, n_pairs, n_s1): pairs that the name and address channels find, alone or both, and of how many source-1 records."""
+    scores = stash(scores, "scores")
+    name, addr = (top_k(scores, c, k[c]).select("s1_idx", "cand_idx", F.lit(True).alias(f"in_{c}")) for c in ("name", "addr"))
+    both = name.join(addr, ["s1_idx", "cand_idx"], "full_outer").withColumns({c: F.coalesce(c, F.lit(False)) for c in ("in_name", "in_addr")})
+    return both.groupBy("in_name", "in_addr").agg(F.count("*").alias("n_pairs"), F.count_distinct("s1_idx").alias("n_s1"))
+
+
 def within_country(extra: DataFrame, records: DataFrame) -> DataFrame:
     """Extra pairs of a source-1 and a pool record of the same country."""
     left = records.filter("src = 1").select(F.col("idx").alias("s1_idx"), "country")

@@ -321,6 +321,13 @@ for _name, _rank, _k in (("blk_name", "rn", 30), ("blk_addr", "ra", 30), ("blk_s
     QUERIES[_label], ORACLE_SQL[_label] = QUERIES.pop("block"), ORACLE_SQL.pop("block")
 
 
+@query(f"""WITH {O.BLOCK}, a AS (SELECT s1_idx, cand_idx FROM rk WHERE rn <= 30), b AS (SELECT s1_idx, cand_idx FROM rk WHERE ra <= 30)
+SELECT a.s1_idx IS NOT NULL AS in_name, b.s1_idx IS NOT NULL AS in_addr, count(*) AS n_pairs, count(DISTINCT coalesce(a.s1_idx, b.s1_idx)) AS n_s1
+FROM a FULL OUTER JOIN b ON a.s1_idx = b.s1_idx AND a.cand_idx = b.cand_idx GROUP BY ALL""")
+def channel_overlap(spark, sf):
+    return B.channel_overlap(_scores(spark, sf))
+
+
 @query(f"WITH {O.BLOCK} SELECT * FROM cand")
 def block_union_channels(spark, sf):
     return _long_ranks(_candidates(spark, sf).drop("from_extra"))
