@@ -18,6 +18,7 @@ QUERIES = {
 }
 ORACLE_SQL = {
     "op1_mix_sources": mixing.ORACLE,
+    "op3_simhash": simhash.ORACLE,
     "op4_decontaminate": decontaminate.ORACLE,
     "op5_chat": chat.ORACLE,
     "op8_substrings": substrings.ORACLE,

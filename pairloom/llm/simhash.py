@@ -236,3 +236,54 @@ def query(spark, sf_dir: str) -> DataFrame:
     """op3: fingerprint and component of every document."""
     found = near_duplicates(spark.read.parquet(f"{sf_dir}/documents.parquet"))
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+def _xxh64(text: str, seed: int = SEED) -> str:
+    """DuckDB SQL of XXH64 of a string column's bytes, as UHUGEINT below 2^64. The five primes and the rotations are the function's fixed values."""
+    p1, p2, p3, p4, p5 = (f"{p}::UHUGEINT" for p in (11400714785074694791, 14029467366897019727, 1609587929392839161, 9650029242287828579, 2870177450012600261))
+    m = f"{1 << 64}::UHUGEINT"
+    mul = lambda a, b: f"(({a}) * {b} % {m})"
+    add = lambda a, b: f"((({a}) + {b}) % {m})"
+
+    def rotl(x: str, r: int) -> str:
+        return f"(({x}) * {1 << r}::UHUGEINT % {m} + ({x}) // {1 << 64 - r}::UHUGEINT)"
+
+    def number(at: str, size: int) -> str:
+        """`size` bytes of the hex string x from byte `at` on, little-endian."""
+        return "('0x' || " + " || ".join(f"substr(x, 2 * ({at} + {k}) + 1, 2)" for k in reversed(range(size))) + ")::UBIGINT::UHUGEINT"
+
+    whole = "(n - n % 32)"  # bytes in stripes of 32
+    turn = lambda acc, lane: f"list_reduce({lane}, lambda a, l: {{}}, {acc})".format(
+        mul(rotl(add("a", mul("l", p2)), 31), p1)
+    )
+    starts = (seed + 11400714785074694791 + 14029467366897019727, seed + 14029467366897019727, seed, seed - 11400714785074694791)
+    stripes = [turn(f"{s % (1 << 64)}::UHUGEINT", f"list_transform(range(0, {whole}, 32), lambda i: {number(f'i + {8 * k}', 8)})") for k, s in enumerate(starts)]
+    merged = add(add(rotl("v1", 1), rotl("v2", 7)), add(rotl("v3", 12), rotl("v4", 18)))
+    for k in (1, 2, 3, 4):
+        merged = add(mul(f"xor({merged}, {mul(rotl(mul(f'v{k}', p2), 31), p1)})", p1), p4)
+    eights = f"list_transform(range({whole}, n - n % 8, 8), lambda i: {mul(rotl(mul(number('i', 8), p2), 31), p1)})"
+    after8 = f"list_reduce({eights}, lambda a, l: {add(mul(rotl('xor(a, l)', 27), p1), p4)}, h1)"
+    four = f"CASE WHEN n % 8 >= 4 THEN {add(mul(rotl(f'xor(h2, {mul(number(chr(40) + "n - n % 8" + chr(41), 4), p1)})', 23), p2), p3)} ELSE h2 END"
+    ones = f"list_transform(range(n - n % 4, n), lambda i: {mul(number('i', 1), p5)})"
+    after1 = f"list_reduce({ones}, lambda a, l: {mul(rotl('xor(a, l)', 11), p1)}, h3)"
+    shift = lambda x, r: f"xor({x}, {x} // {1 << r}::UHUGEINT)"
+    return f"""
+  SELECT t, {shift('h6', 32)} AS h FROM (SELECT t, {mul(shift('h5', 29), p3)} AS h6 FROM (SELECT t, {mul(shift('h4', 33), p2)} AS h5 FROM (
+  SELECT t, {after1} AS h4 FROM (SELECT *, {four} AS h3 FROM (SELECT *, {after8} AS h2 FROM (
+  SELECT *, {add(f"CASE WHEN n >= 32 THEN {merged} ELSE {add(f'{seed}::UHUGEINT', p5)} END", "n::UHUGEINT")} AS h1 FROM (
+  SELECT *, {', '.join(f'{v} AS v{k}' for k, v in enumerate(stripes, 1))} FROM (
+  SELECT t, hex(encode(t)) AS x, octet_length(encode(t)) AS n FROM {text}))))))))"""
+
+
+ORACLE = rf"""
+WITH RECURSIVE w AS (SELECT doc_id, row_number() OVER () AS r, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
+s AS (SELECT r, array_to_string(list_slice(w, i, i + {SHINGLE - 1}), ' ') AS t FROM (SELECT r, w, unnest(range(1, greatest(1, len(w) - {SHINGLE - 1}) + 1)) AS i FROM w WHERE len(w) > 0)),
+x AS ({_xxh64("(SELECT DISTINCT t FROM s)")}),
+b AS (SELECT r, {' + '.join(f"CASE WHEN 2 * count_if(h & {1 << k}::UBIGINT <> 0) > count(*) THEN {1 << k}::UHUGEINT ELSE 0::UHUGEINT END" for k in range(64))} AS f FROM s JOIN (SELECT t, h::UBIGINT AS h FROM x) x ON s.t = x.t GROUP BY r),
+p AS (SELECT w.doc_id, coalesce(b.f, 0::UHUGEINT)::UBIGINT AS f FROM w LEFT JOIN b ON w.r = b.r),
+d AS (SELECT f, min(doc_id) AS first FROM p GROUP BY f),
+e AS (SELECT a.f AS a, c.f AS b FROM d a JOIN d c ON a.f <> c.f AND bit_count(xor(a.f, c.f)) <= {RADIUS}),
+z(f, g) AS (SELECT f, f FROM d UNION SELECT z.f, e.b FROM z JOIN e ON z.g = e.a),
+c AS (SELECT z.f, min(d.first) AS component_id FROM z JOIN d ON z.g = d.f GROUP BY z.f)
+SELECT p.doc_id, lower(lpad(hex(p.f), 16, '0')) AS fingerprint, c.component_id FROM p JOIN c ON p.f = c.f
+"""

@@ -382,7 +382,8 @@ def query(spark, sf_dir: str) -> DataFrame:
 ORACLE = f"""
 WITH d AS (SELECT doc_id, encode(coalesce(text, '')) AS b FROM documents),
 s AS (SELECT doc_id, b, unnest(range(1, octet_length(b) - {LENGTH} + 2)) AS p FROM d WHERE octet_length(b) >= {LENGTH}),
-r AS (SELECT doc_id, p, row_number() OVER (PARTITION BY array_slice(b, p, p + {LENGTH - 1}) ORDER BY doc_id, p) AS k FROM s),
+m AS (SELECT doc_id, p, md5_number(array_slice(b, p, p + {LENGTH - 1})) AS h FROM s),
+r AS (SELECT m.doc_id, m.p, CASE WHEN (m.doc_id, m.p) > first THEN 2 ELSE 1 END AS k FROM m JOIN (SELECT h, min((doc_id, p)) AS first FROM m GROUP BY h HAVING count(*) > 1) g ON m.h = g.h),
 i AS (SELECT doc_id, p, CASE WHEN p <= lag(p) OVER (PARTITION BY doc_id ORDER BY p) + {LENGTH} THEN 0 ELSE 1 END AS fresh FROM r WHERE k > 1),
 g AS (SELECT doc_id, p, sum(fresh) OVER (PARTITION BY doc_id ORDER BY p) AS run FROM i),
 x AS (SELECT doc_id, min(p) AS a, max(p) + {LENGTH} AS e FROM g GROUP BY doc_id, run),

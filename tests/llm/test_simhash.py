@@ -1,5 +1,6 @@
 import random
 
+import duckdb
 import numpy as np
 import pytest
 import xxhash
@@ -136,3 +137,19 @@ def test_kept_rows_against_brute_force(docs, plain):
     rows = [(i, t) for i, t, _, _ in plain]
     kept = sorted((r.doc_id or 0, slow_fingerprint(r.text)) for r in S.drop_near_duplicates(docs).collect())
     assert kept == sorted((i, slow_fingerprint(t)) for i, t in kept_slowly(rows))
+
+
+def test_xxh64_in_sql():
+    rng = random.Random(1)
+    texts = sorted({"".join(rng.choices("abcdé 日z", k=rng.randint(1, 90))) for _ in range(300)})
+    con = duckdb.connect()
+    con.execute("CREATE TABLE q (t VARCHAR)")
+    con.executemany("INSERT INTO q VALUES (?)", [(t,) for t in texts])
+    assert dict(con.execute(S._xxh64("q")).fetchall()) == {t: xxhash.xxh64_intdigest(t.encode(), 42) for t in texts}
+
+
+def test_sql(spark, sf_dir):
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM read_parquet('{sf_dir}/documents.parquet')")
+    found = S.query(spark, sf_dir)
+    assert sorted(map(tuple, found.collect())) == sorted(con.execute(f"SELECT {', '.join(found.columns)} FROM ({S.ORACLE})").fetchall())
