@@ -224,7 +224,9 @@ def score(docs: DataFrame, model: tuple[float, list[tuple[Rule, float]]]) -> Dat
 def accept(docs: DataFrame, model: tuple[float, list[tuple[Rule, float]]]) -> DataFrame:
     """The documents that the classifier accepts; columns of `docs`, whatever their names."""
     packed = docs.select("text", F.struct(*docs.columns).alias("_row"))
-    return score(packed, model).filter("predicted = 1").select("_row.*")
+    # A generator is no place to push the filter through, so statistics and score are made once, by the projections below it.
+    judged = score(packed, model).select("_row", F.explode_outer(F.array("predicted")).alias("_accepted"))
+    return judged.filter("_accepted = 1").select("_row.*")
 
 
 def query(spark, sf_dir: str) -> DataFrame:
