@@ -1,4 +1,12 @@
 import re
+import zlib
+
+import duckdb
+import numpy as np
+from test_decontaminate import slow as slow_hits
+from test_quality_model import slow_score
+from test_simhash import kept_slowly
+from tokenizers import Tokenizer
 
 import corpus_pipeline as C
 from pairloom.llm import decontaminate, mixing, quality_model, simhash, tokens
@@ -40,3 +48,35 @@ def test_edge_rows(spark, docs, none, tmp_path):
 
 def test_no_swallowed_imports():
     assert not re.search(r"except\s+ImportError", open(C.__file__).read())
+
+
+def slow_pipeline(rows, labels_model, items):
+    """The rows of run(), stage by stage, in plain Python and SQL: (doc_id, start, n_tokens, ids_crc32)."""
+    good = [r for r in rows if slow_score(r[1], labels_model) >= 0.3]
+    kept = set(kept_slowly([(r[0], r[1]) for r in good]))
+    single = [r for r in good if (r[0], r[1]) in kept]
+    hits = {i: k for i, _, k, _ in slow_hits(single, items)}
+    clean = [r for r in single if hits[r[0]] == 0]
+    con = duckdb.connect()
+    con.execute("CREATE TABLE documents (doc_id BIGINT, text VARCHAR, source VARCHAR)")
+    con.executemany("INSERT INTO documents VALUES (?, ?, ?)", [(i, t, s) for i, t, _, s in clean])
+    taken = {i: (size, n) for i, size, n in con.execute(f"SELECT doc_id, size, taken FROM ({mixing.ORACLE})").fetchall()}
+    tokenizer, out, start = Tokenizer.from_file(tokens.tokenizer_path()), [], 0
+    for i, t, *_ in sorted(clean):
+        size, n = taken[i]
+        ids = [*tokenizer.encode(t, add_special_tokens=False).ids, 2]
+        for _ in range(int(n / size + 0.5) if size else 0):
+            out.append((i, start, len(ids), zlib.crc32(np.array(ids, "<u4").tobytes())))
+            start += len(ids)
+    return out
+
+
+def test_against_brute_force(spark):
+    sf = "/root/testdata/sf0.001"
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    rows = [(r.doc_id, r.text, r.lang, r.source) for r in docs.collect()]
+    model = quality_model.fit(docs, spark.read.parquet(f"{sf}/labels.parquet"))
+    items = [(r.item_id, r.text) for r in spark.read.parquet(f"{sf}/benchmark.parquet").collect()]
+    expected = slow_pipeline(rows, model, items)
+    assert 50 < len(expected)
+    assert sorted(tuple(r) for r in C.run(spark, sf).select("doc_id", "start", "n_tokens", "ids_crc32").collect()) == sorted(expected)
