@@ -83,6 +83,19 @@ def lengths(a: list[str], b: list[str], single: Callable[[str, str], int]) -> np
     return out
 
 
+def _beginnings(short: np.ndarray, long: np.ndarray, m: np.ndarray) -> np.ndarray:
+    """For each pair the best indel ratio of `short` with a beginning of `long` that is shorter than it: one pass gives all of them."""
+    table, other = _table(short, long)
+    full, own = _full(m), np.arange(len(m))
+    state, best = full.copy(), np.zeros(len(m))
+    for taken in range(1, int(m.max())):
+        u = state & table[own, other[:, taken - 1]]
+        state = ((state + u) | (state - u)) & full
+        value = 200.0 * (m - np.bitwise_count(state)) / (m + taken)
+        best = np.where(taken < m, np.maximum(best, value), best)
+    return best
+
+
 def best_windows(short: list[str], long: list[str], single: Callable[[str, str], float]) -> np.ndarray:
     """For each pair the best indel ratio of `short` (not empty, not longer) with a window of `long` of as many characters, fewer at the ends."""
     m, n, fits = _split(short, long)
@@ -91,23 +104,25 @@ def best_windows(short: list[str], long: list[str], single: Callable[[str, str],
     for i in np.flatnonzero(~fits).tolist():
         out[i] = single(short[i], long[i])
     rows = np.flatnonzero(fits)
-    for chunk in _chunks(rows[np.argsort(n[rows], kind="stable")], (m + n) * 4):
-        table, other = _table(codes_of([short[i] for i in chunk], int(m[chunk].max())), codes_of([long[i] for i in chunk], int(n[chunk].max())))
-        counts = m[chunk] + n[chunk] - 1
+    for chunk in _chunks(rows[np.argsort((n - m)[rows], kind="stable")], n + m + 2 * (n - m + 1)):
+        size, whole = m[chunk], n[chunk]
+        a, b = codes_of([short[i] for i in chunk], int(size.max())), codes_of([long[i] for i in chunk], int(whole.max()))
+        best = _beginnings(a, b, size)
+        # Windows at the right end are beginnings of the reversed strings.
+        back = codes_of([short[i][::-1] for i in chunk], a.shape[1]), codes_of([long[i][::-1] for i in chunk], b.shape[1])
+        best = np.maximum(best, _beginnings(*back, size))
+        table, other = _table(a, b)
+        counts = whole - size + 1
         pair = np.repeat(np.arange(len(chunk)), counts)
-        size, whole = m[chunk][pair], n[chunk][pair]
-        start = np.arange(len(pair)) - np.repeat(np.cumsum(counts) - counts, counts) + 1 - size
-        full = _full(size)
-        state, none = full.copy(), table.shape[1] - 1
-        for j in range(int(m[chunk].max())):
-            at = start + j
-            inside = (j < size) & (at >= 0) & (at < whole)
-            letter = np.where(inside, other[pair, np.where(inside, at, 0)], none)
+        start = np.arange(len(pair)) - np.repeat(np.cumsum(counts) - counts, counts)
+        own, full = size[pair], _full(size)[pair]
+        state, none, width = full.copy(), table.shape[1] - 1, other.shape[1] - 1
+        for j in range(a.shape[1]):
+            letter = np.where(j < own, other[pair, np.minimum(start + j, width)], none)
             u = state & table[pair, letter]
             state = ((state + u) | (state - u)) & full
-        taken = np.minimum(whole, start + size) - np.maximum(start, 0)
-        value = 200.0 * (size - np.bitwise_count(state)) / (size + taken)
-        out[chunk] = np.maximum.reduceat(value, np.cumsum(counts) - counts)
+        value = 100.0 * (own - np.bitwise_count(state)) / own
+        out[chunk] = np.maximum(best, np.maximum.reduceat(value, np.cumsum(counts) - counts))
     return out
 
 
