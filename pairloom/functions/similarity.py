@@ -249,13 +249,14 @@ def comparator(compare: Callable[[list[str], list[str]], np.ndarray]) -> Callabl
 
     @F.pandas_udf("double")
     def run(left: pd.Series, right: pd.Series) -> pd.Series:
-        pairs = pd.MultiIndex.from_arrays([left, right])
-        codes, distinct = pd.factorize(pairs)
+        place: dict[tuple, int] = {}
+        codes = np.fromiter((place.setdefault(pair, len(place)) for pair in zip(left.tolist(), right.tolist())), np.int64, len(left))
+        distinct = list(place)
         known = [i for i, (x, y) in enumerate(distinct) if isinstance(x, str) and isinstance(y, str)]
-        value = np.full(len(distinct) + 1, np.nan)
+        value = np.full(len(distinct), np.nan)  # null
         if known:
             value[known] = compare([distinct[i][0] for i in known], [distinct[i][1] for i in known])
-        return pd.Series(value[codes]).astype("Float64").mask(np.isnan(value[codes]))
+        return pd.Series(value[codes])
 
     return run
 
