@@ -672,10 +672,10 @@ def errors_fn(spark, sf):
 
 @query()
 def gbt_predict(spark, sf):
-    """Train on the fit fold of the noisy world of whole records, until 10 rounds gain nothing, and score all of its candidates."""
+    """Train on the fit fold of the noisy world of whole records, and score all of its candidates."""
     records, truth = world.whole_noisy_world(spark, sf)
     found = stash(normalize(records), "records")
     meta = sampling.s1_meta(found, truth)
     pairs = stash(P.build_features(B.generate_candidates(found).drop("from_extra"), found, truth, meta), "features")
-    model = matcher.train(pairs, P.feature_columns(pairs), early_stop=10)
+    model = matcher.train(pairs, P.feature_columns(pairs))
     return matcher.predict(model, pairs)

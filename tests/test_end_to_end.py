@@ -87,6 +87,7 @@ def test_early_stopping(spark):
     small = {"maxDepth": 4, "minInstancesPerNode": 1, "stepSize": 0.3}
     model = matcher.train(pairs, ["x", "noise"], rounds=64, early_stop=4, **small)
     whole = matcher.train(pairs, ["x", "noise"], rounds=64, early_stop=0, **small)
+    assert 0 < matcher.train(pairs, ["x", "noise"], rounds=64, **small).stages[1].getNumTrees < 64  # Spark's own stop
     n = model.stages[1].getNumTrees
     assert 0 < n < 64 == whole.stages[1].getNumTrees
     held = model.stages[0].transform(matcher.with_vector_inputs(pairs.filter("fold = 'val'").withColumn("label", F.col("label").cast("double")), ["x", "noise"])[0])
