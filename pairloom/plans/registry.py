@@ -356,7 +356,7 @@ SELECT (SELECT round(avg((blk_rank IS NOT NULL)::INTEGER), 4) FROM f) AS pair_re
   (SELECT round(avg(best), 4) FROM m) AS f05_ceiling, n_pairs, round(n_pairs::DOUBLE / (SELECT count(*) FROM m), 1) AS avg_cands_per_s1 FROM p""")
 def block_report(spark, sf):
     records = _norm(spark, sf)
-    truth = world.truth(records)
+    truth = stash(world.truth(records), "truth")
     return B.blocking_report(B.generate_candidates(records), truth, sampling.s1_meta(records, truth))
 
 

@@ -4,6 +4,7 @@ from pairloom.operators import blocking as B
 from pairloom.operators import features as P
 from pairloom.operators import sampling
 from pairloom.operators.normalize import normalize
+from pairloom.plans import registry
 from pairloom.sources import world
 
 
@@ -93,3 +94,21 @@ def test_one_sort_ranks_all_channels(spark):
             if x or ranks != (4, 5, 6):
                 want.add((s, c, *ranks))
     assert {(r.s1_idx, r.cand_idx, r.blk_rank_name, r.blk_rank_addr, r.blk_rank_both) for r in got.collect()} == want
+
+
+def test_report_reads_tables(spark, sf_dir, monkeypatch):
+    tables = []
+    monkeypatch.setattr(registry, "stash", lambda df, name, f=registry.stash: tables.append(name) or f(df, name))
+    made = []
+    monkeypatch.setattr(B, "generate_candidates", lambda *a, f=B.generate_candidates: made.append(f(*a)) or made[-1])
+    registry.block_report(spark, sf_dir)
+    assert tables == ["truth"]  # it is used twice, as are the candidates
+    assert "Exchange" not in made[0]._jdf.queryExecution().executedPlan().toString()
+
+
+def test_truth_by_digest(spark):
+    rows = [(1, 1, "us", "a", "b"), (2, 1, "us", "a", "b"), (3, 2, "us", "a", "b"), (4, 3, "fr", "a", "b"), (5, 2, "us", "ab", ""), (6, 1, "us", "", "ab"), (7, 1, "us", None, "x"), (8, 2, "us", None, "x"), (9, 3, None, "a", "b")]
+    found = spark.createDataFrame(rows, "idx int, src int, country string, business_name string, business_address string")
+    assert [tuple(r) for r in world.truth(found).collect()] == [(1, 3)]
+    plan = world.truth(found)._jdf.queryExecution().optimizedPlan().toString().split("Join")[0] + world.truth(found)._jdf.queryExecution().executedPlan().toString()
+    assert "sha2" in plan
