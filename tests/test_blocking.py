@@ -112,3 +112,16 @@ def test_truth_by_digest(spark):
     assert [tuple(r) for r in world.truth(found).collect()] == [(1, 3)]
     plan = world.truth(found)._jdf.queryExecution().optimizedPlan().toString().split("Join")[0] + world.truth(found)._jdf.queryExecution().executedPlan().toString()
     assert "sha2" in plan
+
+
+def test_overlaps_in_blocks(spark, sf_dir, monkeypatch):
+    found = normalize(world.records(spark, sf_dir)).select("idx", "country", "business_name", *P.RECORD_COLUMNS).cache()
+    pairs = B.generate_candidates(found).select("s1_idx", "cand_idx")
+    want = P.pair_table(pairs, found).select("s1_idx", "cand_idx", "addr_empty_1", "addr_empty_2", *(c.alias(n) for n, c in P.set_features().items()))
+    tables = []
+    monkeypatch.setattr(P, "BLOCK", 4000)
+    monkeypatch.setattr(P, "stash", lambda df, name, f=P.stash: tables.append(name) or f(df, name))
+    got = P.overlap_table(pairs, found, P.SETS | {"aid": "addr_ids"}, ("addr_empty",))
+    assert tables.count("overlaps") > 2
+    got = got.select("s1_idx", "cand_idx", "addr_empty_1", "addr_empty_2", *(c.alias(n) for p in P.SETS for n, c in P.overlap_shares(p).items()), "aid_inter")
+    assert want.columns == got.columns and sorted(map(str, want.collect())) == sorted(map(str, got.collect()))
