@@ -483,8 +483,9 @@ def size_and_flag_features(spark, sf):
 SELECT s1_idx, cand_idx, atok_inter, CASE WHEN NOT (s1e OR ce) THEN atok_jac END AS atok_jac, CASE WHEN NOT (s1e OR ce) THEN atok_cont1 END AS atok_cont1,
   CASE WHEN NOT (s1e OR ce) THEN atok_cont2 END AS atok_cont2 FROM o""")
 def missing_mask(spark, sf):
-    made = P.set_overlap("atok", F.col("addr_tokens_1"), F.col("addr_tokens_2")) | {n: c for n, c in P.size_and_flag_features().items() if n.endswith("addr_empty")}
-    found = P.mask_missing_address(_pairs(spark, sf).withColumns(made))
+    pairs = _overlaps(spark, sf, {"atok": "addr_tokens"}, "addr_empty")
+    made = P.overlap_shares("atok") | {n: F.col(c).cast("int") for n, c in (("s1_addr_empty", "addr_empty_1"), ("cand_addr_empty", "addr_empty_2"))}
+    found = P.mask_missing_address(pairs.withColumns(made))
     return found.select("s1_idx", "cand_idx", "atok_inter", *(_r(c).alias(c) for c in ("atok_jac", "atok_cont1", "atok_cont2")))
 
 

@@ -125,3 +125,13 @@ def test_overlaps_in_blocks(spark, sf_dir, monkeypatch):
     assert tables.count("overlaps") > 2
     got = got.select("s1_idx", "cand_idx", "addr_empty_1", "addr_empty_2", *(c.alias(n) for p in P.SETS for n, c in P.overlap_shares(p).items()), "aid_inter")
     assert want.columns == got.columns and sorted(map(str, want.collect())) == sorted(map(str, got.collect()))
+
+
+def test_masked_overlaps_come_from_numbers(spark, sf_dir, monkeypatch):
+    made = []
+    monkeypatch.setattr(P, "overlap_table", lambda *a, f=P.overlap_table: made.append(f(*a)) or made[-1])
+    found = registry.missing_mask(spark, sf_dir)
+    assert not [n for n, kind in made[0].dtypes if kind.startswith("array")]
+    assert "Exchange" not in found._jdf.queryExecution().executedPlan().toString()
+    empty = found.join(made[0].select("s1_idx", "cand_idx", (F.col("addr_empty_1") | F.col("addr_empty_2")).alias("empty")), ["s1_idx", "cand_idx"])
+    assert empty.filter("empty AND (atok_jac IS NOT NULL OR atok_cont1 IS NOT NULL OR atok_cont2 IS NOT NULL)").isEmpty() and found.count() == empty.count()
