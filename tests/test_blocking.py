@@ -1,5 +1,6 @@
 from pyspark.sql import functions as F
 
+from pairloom.functions.similarity import SINGLE, STRING_FEATURES
 from pairloom.operators import blocking as B
 from pairloom.operators import features as P
 from pairloom.operators import sampling
@@ -135,3 +136,25 @@ def test_masked_overlaps_come_from_numbers(spark, sf_dir, monkeypatch):
     assert "Exchange" not in found._jdf.queryExecution().executedPlan().toString()
     empty = found.join(made[0].select("s1_idx", "cand_idx", (F.col("addr_empty_1") | F.col("addr_empty_2")).alias("empty")), ["s1_idx", "cand_idx"])
     assert empty.filter("empty AND (atok_jac IS NOT NULL OR atok_cont1 IS NOT NULL OR atok_cont2 IS NOT NULL)").isEmpty() and found.count() == empty.count()
+
+
+def test_features_in_blocks(spark, sf_dir, monkeypatch):
+    """No pair is dealt with its texts, and the features are those of the pairs one by one."""
+    found = normalize(world.records(spark, sf_dir)).cache()
+    pairs = B.generate_candidates(found).select("s1_idx", "cand_idx", "blk_score")
+    tables = []
+    monkeypatch.setattr(P, "TEXTS", 3000, raising=False)
+    monkeypatch.setattr(P, "stash", lambda df, name, f=P.stash: tables.append(name) or f(df, name))
+    got = P.base_features(pairs, found)
+    assert tables.count("base") > 2 and "Exchange" not in got._jdf.queryExecution().executedPlan().toString()
+    rows = {(r.s1_idx, r.cand_idx): r for r in got.collect()}
+    assert len(rows) == got.count() == pairs.count()
+    others = P.set_features() | P.house_features() | P.equality_features() | P.size_and_flag_features()
+    texts = P.pair_table(pairs, found).withColumns(others).collect()
+    for r in sorted(texts, key=lambda r: len(r.addr_norm_1) + len(r.addr_norm_2))[:60]:
+        own = rows[r.s1_idx, r.cand_idx]
+        empty = r.addr_empty_1 or r.addr_empty_2
+        for feature, column, kind in STRING_FEATURES:
+            value = None if feature in P.ADDRESS_ONLY and empty else SINGLE[kind](r[f"{column}_1"], r[f"{column}_2"])
+            assert own[feature] == value or abs(own[feature] - value) < 1e-9, feature
+        assert all(own[n] == (None if n in P.ADDRESS_ONLY and empty else r[n]) for n in others)

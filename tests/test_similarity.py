@@ -148,3 +148,31 @@ def test_null_in_null_out(spark):
     df = spark.createDataFrame([("a", None), ("a", "a"), (None, None)], "l string, r string")
     rows = df.select(S.comparator(S.ratio_many)("l", "r").alias("x")).collect()
     assert [r.x for r in rows] == [None, 100.0, None]
+
+
+def test_windows_are_combed(monkeypatch):
+    """Long strings are not compared window by window, and one pass gives ratio and partial."""
+    rng = random.Random(8)
+    text = lambda n, letters="abcd ": "".join(rng.choices(letters, k=n))
+    pairs = [(text(rng.choice((1, 5, 64, 90, 200))), text(rng.choice((1, 64, 90, 200, 400)))) for _ in range(40)]
+    pairs += [(text(70, letters), text(90, letters)) for letters in ("".join(map(chr, range(97, 400))), "a\U0001f600日 ")]
+    want = [(S.partial(x, y), S.ratio(x, y)) for x, y in pairs]
+
+    def alone(*_):
+        raise AssertionError("a single pair")
+
+    monkeypatch.setattr(S, "_windows", alone)
+    partial, ratio = S.partial_and_ratio([x for x, _ in pairs], [y for _, y in pairs])
+    assert list(zip(partial.tolist(), ratio.tolist())) == [pytest.approx(w) for w in want]
+    # so many places that strands need more than 16 bits
+    long = "ab" * 33_000 + "xyz" + "ab" * 500
+    assert S.partial_many(["axyzb", "cdcd", "bab"], [long] * 3).tolist() == pytest.approx([80.0, 0.0, 100.0])
+
+
+def test_comparators_together():
+    rng = random.Random(9)
+    word = lambda: "".join(rng.choices("abc", k=rng.randint(1, 9)))
+    a, b = ([" ".join(word() for _ in range(rng.choice((0, 1, 3, 12)))) for _ in range(80)] for _ in range(2))
+    made = S.compare_many(list(S.SINGLE), a, b)
+    for name, f in S.SINGLE.items():
+        assert made[name].tolist() == pytest.approx([f(x, y) for x, y in zip(a, b)]), name
