@@ -1,3 +1,4 @@
+import numpy as np
 from pyspark.sql import functions as F
 
 from pairloom.functions.similarity import SINGLE, STRING_FEATURES
@@ -158,3 +159,43 @@ def test_features_in_blocks(spark, sf_dir, monkeypatch):
             value = None if feature in P.ADDRESS_ONLY and empty else SINGLE[kind](r[f"{column}_1"], r[f"{column}_2"])
             assert own[feature] == value or abs(own[feature] - value) < 1e-9, feature
         assert all(own[n] == (None if n in P.ADDRESS_ONLY and empty else r[n]) for n in others)
+
+
+def test_lists_are_ranked_as_pairs_are(spark, sf_dir, monkeypatch):
+    """Candidates by lists are those of ranked_candidates() by pairs, and no pair becomes a row before."""
+    found = normalize(world.records(spark, sf_dir)).cache()
+    extra = found.filter("src = 1").select(F.col("idx").alias("s1_idx"), (F.col("idx") + 3).alias("cand_idx"))
+    keys = B.record_keys(found).cache()
+    scores = B.pair_scores(keys, B.key_weights(keys, found)).drop("country")
+    more = B.within_country(extra, found).distinct().withColumn("x", F.lit(True))
+    scores = scores.join(more, ["s1_idx", "cand_idx"], "full_outer").fillna(0.0).select("s1_idx", "cand_idx", "blk_name", "blk_addr", F.coalesce("x", F.lit(False)).alias("from_extra"))
+    plans = []
+    monkeypatch.setattr(B, "stash", lambda df, name, f=B.stash: plans.append((name, df._jdf.queryExecution().optimizedPlan().toString())) or f(df, name))
+    for k, most in ((B.K, B.MAX_CANDIDATES), ({"name": 2, "addr": 3, "both": 4}, 5), ({"name": 1, "addr": 1, "both": 1}, 0)):
+        got = B.generate_candidates(found, extra, k=k, most=most)
+        want = B.ranked_candidates(scores, k, most).select(got.columns)
+        assert got.count() > 50 and sorted(got.collect()) == sorted(want.collect())
+    assert all(plan.count("Generate explode") == 1 for name, plan in plans if name == "candidates")
+
+
+def test_shared_words_in_slots():
+    """Hashes of one slot, the hash zero and negative ones, and records without words."""
+    rng = np.random.default_rng(3)
+    pool = np.concatenate(([0, 5, 5 + P.SLOTS, 5 + 2 * P.SLOTS, -1, -P.SLOTS, ~0 ^ P.SLOTS], rng.integers(-(2**63), 2**63 - 1, 20)))
+    table = ~np.arange(P.SLOTS)
+    sets = [[rng.choice(pool, n, replace=False) for n in rng.integers(0, 12, 2)] for _ in range(30)]
+    words, sizes = np.concatenate([x for s in sets for x in s]), np.array([[len(x) for x in s] for s in sets])
+    begins = np.concatenate(([0], np.cumsum(sizes.ravel())))
+    ends = begins[np.arange(30)[:, None] * 2 + np.arange(3)]
+    for n in (0, 1, 9, len(pool)):
+        own, ask = rng.choice(pool, n, replace=False), rng.choice(30, 12)
+        got = P._shared_words(ask, words, ends, own, table)
+        assert got.tolist() == [[len(set(x.tolist()) & set(own.tolist())) for x in sets[i]] for i in ask]
+        assert (table == ~np.arange(P.SLOTS)).all()
+
+
+def test_overlaps_deal_nothing(spark, sf_dir, monkeypatch):
+    plans = []
+    monkeypatch.setattr(P, "stash", lambda df, name, f=P.stash: plans.append((name, df._jdf.queryExecution().executedPlan().toString())) or f(df, name))
+    registry.set_overlap(spark, sf_dir).count()
+    assert "overlaps" in dict(plans) and not [name for name, plan in plans if name == "overlaps" and ("Exchange" in plan or "Join" in plan)]
